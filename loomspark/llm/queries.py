@@ -3,11 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loomspark.llm import encoding, packing
+from loomspark.llm import encoding, language, mojibake, packing
 from loomspark.session import table
 
 
+def prose(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of chunks with prose."""
+    return table(spark, sf_dir, "chunks").filter(~F.coalesce(F.col("chunk_type").isin("code", "table"), F.lit(False)) & (F.length("chunk_text") > 0))
+
+
+def p1_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language, confidence and language segments of every chunk."""
+    return language.detect_segments(prose(spark, sf_dir)).dropDuplicates(["chunk_id"])
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.wrong_labels(language.detect_segments(prose(spark, sf_dir)))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encode_corpus(table(spark, sf_dir, "documents"))
 
@@ -16,5 +31,14 @@ def p7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_targets"))
 
 
-QUERIES = {f.__name__: f for f in (p6_ids, p7_packing)}
+def p8_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Restored text and damaged spans of every affected document."""
+    return mojibake.find_damage(table(spark, sf_dir, "documents"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mojibake.find_damage(table(spark, sf_dir, "documents")).select("doc_id")
+
+
+QUERIES = {f.__name__: f for f in (p1_languages, p1_found, p6_ids, p7_packing, p8_restored, p8_found)}
 ORACLES: dict[str, str] = {}
