@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomspark.llm.sampling import bounded_sample
+
 LANGUAGES = ["en", "ko", "de", "fr", "es", "pt", "nl"]
 ORDERS = (2, 3, 4)
 
@@ -207,11 +209,7 @@ def label_sentences(model: KernelModel, parts: list[tuple[str, bool]], scores: n
 def fit_on(chunks: DataFrame, id_col: str, text_col: str, label_col: str, sample_rows: int) -> KernelModel:
     """Fit on at most ``sample_rows`` rows per language with a usable label, taken by hash of the id."""
     usable = chunks.filter(F.length(text_col) > 0).select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), normalised_label(F.col(label_col)).alias("l"))
-    picked = None
-    for l in LANGUAGES:
-        one = usable.filter(F.col("l") == l).orderBy(F.xxhash64("i"), "i", "t").limit(sample_rows)
-        picked = one if picked is None else picked.unionByName(one)
-    rows = picked.collect()
+    rows = bounded_sample(usable.filter(F.col("l").isin(LANGUAGES)), "i", sample_rows, by="l")
     return fit([r.t for r in rows], [r.l for r in rows])
 
 

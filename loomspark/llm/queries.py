@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspark.llm import encoding, language, mojibake, packing
+from loomspark.llm import encoding, language, mojibake, nearcopies, packing
 from loomspark.session import table
 
 
@@ -23,6 +23,20 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.wrong_labels(language.detect_segments(prose(spark, sf_dir)))
 
 
+def _near(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Three-word sequences and a similarity of 0.6, texts of 25 words or more, as the problem states."""
+    return nearcopies.near_copies(prose(spark, sf_dir), "chunk_id", "chunk_text", threshold=0.6, shingle=3, min_words=25)
+
+
+def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class, group and number of links of every chunk."""
+    return nearcopies.copy_groups(*_near(spark, sf_dir), "chunk_id")
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearcopies.copy_pairs(*_near(spark, sf_dir), "chunk_id")
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encode_corpus(table(spark, sf_dir, "documents"))
 
@@ -40,5 +54,5 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mojibake.find_damage(table(spark, sf_dir, "documents")).select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_languages, p1_found, p6_ids, p7_packing, p8_restored, p8_found)}
+QUERIES = {f.__name__: f for f in (p1_languages, p1_found, p2_groups, p2_found, p6_ids, p7_packing, p8_restored, p8_found)}
 ORACLES: dict[str, str] = {}
