@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspark.llm import encoding, language, mojibake, nearcopies, packing
+from loomspark.llm import encoding, language, mojibake, nearcopies, neighbors, packing
 from loomspark.session import table
 
 
@@ -37,6 +37,15 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearcopies.copy_pairs(*_near(spark, sf_dir), "chunk_id")
 
 
+def p5_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten most similar vectors of every vector, as far as they have a cosine of 0.8 or more."""
+    return neighbors.nearest(table(spark, sf_dir, "chunk_vectors"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbors.similar_pairs(neighbors.nearest(table(spark, sf_dir, "chunk_vectors")))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encode_corpus(table(spark, sf_dir, "documents"))
 
@@ -54,5 +63,5 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mojibake.find_damage(table(spark, sf_dir, "documents")).select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_languages, p1_found, p2_groups, p2_found, p6_ids, p7_packing, p8_restored, p8_found)}
+QUERIES = {f.__name__: f for f in (p1_languages, p1_found, p2_groups, p2_found, p5_neighbors, p5_found, p6_ids, p7_packing, p8_restored, p8_found)}
 ORACLES: dict[str, str] = {}
