@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspark.llm import encoding, language, mojibake, nearcopies, neighbors, packing
+from loomspark.llm import encoding, language, mojibake, nearcopies, neighbors, packing, subjects
 from loomspark.session import table
 
 
@@ -37,6 +37,24 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearcopies.copy_pairs(*_near(spark, sf_dir), "chunk_id")
 
 
+def _subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subjects.chunk_subjects(prose(spark, sf_dir), table(spark, sf_dir, "area_labels"), table(spark, sf_dir, "subject_areas"))
+
+
+def p3_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main subject and likeliest combination of areas of every chunk."""
+    return _subjects(spark, sf_dir).dropDuplicates(["chunk_id"])
+
+
+def p3_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of each area in the corpus."""
+    return subjects.corpus_shares(_subjects(spark, sf_dir))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subjects.file_subjects(_subjects(spark, sf_dir)).select("source_file", "area")
+
+
 def p5_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten most similar vectors of every vector, as far as they have a cosine of 0.8 or more."""
     return neighbors.nearest(table(spark, sf_dir, "chunk_vectors"))
@@ -63,5 +81,5 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mojibake.find_damage(table(spark, sf_dir, "documents")).select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_languages, p1_found, p2_groups, p2_found, p5_neighbors, p5_found, p6_ids, p7_packing, p8_restored, p8_found)}
+QUERIES = {f.__name__: f for f in (p1_languages, p1_found, p2_groups, p2_found, p3_chunks, p3_shares, p3_found, p5_neighbors, p5_found, p6_ids, p7_packing, p8_restored, p8_found)}
 ORACLES: dict[str, str] = {}
