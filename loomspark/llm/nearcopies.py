@@ -6,9 +6,9 @@ more than ``bucket_limit`` sets is split again by tokens chosen anew within it,
 Two sets meet if they choose a shared token. Tokens are chosen with a probability that falls with their frequency
 (estimated by a count sketch of fixed size; a token that is counted once is in no other set), so that stock phrases
 don't fill the buckets, and that is scaled to ``picks`` tokens a set and level. A pair whose shared tokens carry the
-part s of the larger set's weight is missed by all runs with a probability of about exp(-runs * picks * s): below 0.3 %
+part s of the larger set's weight is missed by all runs with a probability of about exp(-runs * picks * s): below 1 %
 at s = 0.5 with the default values. Pairs in a bucket are compared by their sizes and by 128-bit sketches of their sets (a pair at
-the threshold falls below ``sketch_agree`` equal bits in about one case in ten thousand), the rest by their exact sets.
+the threshold falls below ``sketch_agree`` equal bits in about one case in two thousand), the rest by their exact sets.
 """
 
 from __future__ import annotations
@@ -128,6 +128,8 @@ def _chooser(ship, picks: float, rare: float, runs: int, deeper: bool):
         for whole in batches:
             for lo in range(0, whole.num_rows, 8192):
                 b = whole.slice(lo, 8192)
+                if not deeper:  # copies of one set choose alike: one of them in a batch is enough
+                    b = b.take(pa.array(np.unique(b.column("cls").to_numpy(), return_index=True)[1]))
                 tokens, starts = _flat(b.column("tokens"))
                 size = np.diff(starts)
                 if not len(tokens):
@@ -157,6 +159,71 @@ def _chooser(ship, picks: float, rare: float, runs: int, deeper: bool):
     return run
 
 
+def _met(bucket_limit: int, least_bits: int, ratio: float):
+    """Over rows sorted by path and class: the near pairs of each bucket, and the rows of buckets above the limit.
+
+    Output rows are (a, b, path null) for pairs and (a, b null, path, sketches) for rows to be split further.
+    """
+
+    def pairs(path: np.ndarray, cls: np.ndarray, n: np.ndarray, s0: np.ndarray, s1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        left, right = [], []
+        at, shift = np.arange(len(path) - 1), 1
+        bits0, bits1 = s0.view(np.uint64), s1.view(np.uint64)
+        while len(at):
+            at = at[at + shift < len(path)]
+            at = at[path[at] == path[at + shift]]
+            to = at + shift
+            near = (np.bitwise_count(bits0[at] ^ bits0[to]) + np.bitwise_count(bits1[at] ^ bits1[to]) <= 128 - least_bits) & (np.minimum(n[at], n[to]) >= ratio * np.maximum(n[at], n[to]))
+            left.append(cls[at[near]])
+            right.append(cls[to[near]])
+            shift += 1
+        return (np.concatenate(left), np.concatenate(right)) if left else (cls[:0], cls[:0])
+
+    names = ["path", "cls", "n", "s0", "s1"]
+
+    def batch(cols: list[np.ndarray], a: np.ndarray, b: np.ndarray, large: np.ndarray) -> pa.RecordBatch:
+        none = lambda k: pa.nulls(k, pa.int64())
+        rest = [pa.array(np.ascontiguousarray(c[large]), pa.int64()) for c in (cols[1], cols[0], cols[3], cols[4])]
+        out = [pa.concat_arrays([pa.array(a), rest[0]]), pa.concat_arrays([pa.array(b), none(len(rest[0]))])]
+        out += [pa.concat_arrays([none(len(a)), r]) for r in rest[1:]]
+        return pa.RecordBatch.from_arrays(out, ["a", "b", "path", "s0", "s1"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None  # the bucket that may go on in the next batch
+        large_path = None  # the bucket whose first rows are known to be above the limit
+
+        def settle(cols: list[np.ndarray], last: bool):
+            nonlocal held, large_path
+            first = np.concatenate([[True], (cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])])
+            cols = [c[first] for c in cols]  # a set stands once in a bucket
+            path = cols[0]
+            starts = np.flatnonzero(np.concatenate([[True], path[1:] != path[:-1]]))
+            sizes = np.diff(np.concatenate([starts, [len(path)]]))
+            large = np.repeat((sizes > bucket_limit) | (path[starts] == large_path if large_path is not None else False), sizes)
+            open_from = len(path) if last else starts[-1]
+            held = None
+            if not last:
+                if large[-1]:
+                    large_path, open_from = path[-1], len(path)
+                else:
+                    large_path, held = None, [c[open_from:] for c in cols]
+            done = np.arange(len(path)) < open_from
+            small = done & ~large
+            a, b = pairs(*(c[small] for c in cols))
+            return batch(cols, a, b, done & large)
+
+        for b in batches:
+            if b.num_rows:
+                cols = [b.column(k).to_numpy() for k in names]
+                if held is not None:
+                    cols = [np.concatenate(z) for z in zip(held, cols, strict=True)]
+                yield settle(cols, False)
+        if held is not None:
+            yield settle(held, True)
+
+    return run
+
+
 def _jaccard(pairs: DataFrame, shingle_sets: DataFrame) -> DataFrame:
     """Adds the exact similarity of ``(a, b)``."""
     one = lambda x: shingle_sets.select(F.col("cls").alias(x), F.col("tokens").alias(f"t_{x}"))
@@ -165,7 +232,7 @@ def _jaccard(pairs: DataFrame, shingle_sets: DataFrame) -> DataFrame:
 
 
 def class_pairs(
-    sets: DataFrame, threshold: float, runs: int = 6, picks: float = 2.0, rare: float = 20.0, bucket_limit: int = 200, max_depth: int = 8, sketch_agree: int | None = None
+    sets: DataFrame, threshold: float, runs: int = 6, picks: float = 1.6, rare: float = 20.0, bucket_limit: int = 200, max_depth: int = 8, sketch_agree: int | None = None
 ) -> DataFrame:
     """``(a, b, similarity)``: the pairs of different classes of ``sets`` with a Jaccard similarity of the threshold or more."""
     spark = sets.sparkSession
@@ -173,36 +240,36 @@ def class_pairs(
     if sketch_agree is None:
         cosine = 2 * threshold / (1 + threshold)
         agree = 1 - np.arccos(cosine) / np.pi
-        sketch_agree = int(128 * agree - 3.7 * np.sqrt(128 * agree * (1 - agree)))
+        sketch_agree = int(128 * agree - 3.3 * np.sqrt(128 * agree * (1 - agree)))
     schema = "path bigint, cls bigint, n int, s0 bigint, s1 bigint"
     level = sets.select("cls", "n", "tokens").mapInArrow(_chooser(ship, picks, rare, runs, False), schema)
-    near = F.expr(f"bit_count(l.s0 ^ r.s0) + bit_count(l.s1 ^ r.s1) <= {128 - sketch_agree} and least(l.n, r.n) >= {threshold - 1e-9} * greatest(l.n, r.n)")
-    candidates = None
+    met = _met(bucket_limit, sketch_agree, threshold - 1e-9)
+    levels = []
     for depth in range(1, max_depth + 1):
-        # copies of one set choose alike: they are dropped before the shuffle and after it
-        level = level.dropDuplicates(["path", "cls"]).withColumn("size", F.count("*").over(Window.partitionBy("path"))).filter("size > 1")
-        level = materialize(level, f"chosen-path-{depth}")
-        small = level.filter(F.col("size") <= bucket_limit)
-        met = small.alias("l").join(small.alias("r"), (F.col("l.path") == F.col("r.path")) & (F.col("l.cls") < F.col("r.cls")) & near).select(F.col("l.cls").alias("a"), F.col("r.cls").alias("b"))
-        candidates = met if candidates is None else candidates.unionByName(met)
-        large = level.filter(F.col("size") > bucket_limit)
+        # one shuffle brings buckets together; a bucket is compared while the sorted rows stream past
+        passed = level.repartition("path").sortWithinPartitions("path", "cls").mapInArrow(met, "a bigint, b bigint, path bigint, s0 bigint, s1 bigint")
+        passed = materialize(passed, f"chosen-path-{depth}")
+        levels.append(passed.filter("b is not null").select("a", "b"))
+        large = passed.filter("b is null").select("path", F.col("a").alias("cls"), "s0", "s1")
         n_large = large.count()
         if not n_large:
             break
         if depth == max_depth:  # what no token splits is compared in blocks, left block against all blocks of the bucket
-            blocks = F.ceil(F.col("size") / bucket_limit).cast("int")
-            left = large.withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
-            right = large.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            rows = large.join(sets.select("cls", "n").distinct(), "cls").distinct()
+            blocks = F.ceil(F.count("*").over(Window.partitionBy("path")) / bucket_limit).cast("int")
+            rows = rows.withColumn("blocks", blocks)
+            left = rows.withColumn("block", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
+            right = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            near = F.expr(f"bit_count(l.s0 ^ r.s0) + bit_count(l.s1 ^ r.s1) <= {128 - sketch_agree} and least(l.n, r.n) >= {threshold - 1e-9} * greatest(l.n, r.n)")
             rest = left.alias("l").join(right.alias("r"), (F.col("l.path") == F.col("r.path")) & (F.col("l.block") == F.col("r.block")) & (F.col("l.cls") < F.col("r.cls")) & near)
-            candidates = candidates.unionByName(rest.select(F.col("l.cls").alias("a"), F.col("r.cls").alias("b")))
+            levels.append(rest.select(F.col("l.cls").alias("a"), F.col("r.cls").alias("b")))
             break
-        keys = large.select("path", "cls", "s0", "s1")
-        keys = F.broadcast(keys) if n_large <= BROADCAST_ROWS else keys
+        keys = F.broadcast(large) if n_large <= BROADCAST_ROWS else large
         level = sets.select("cls", "n", "tokens").join(keys, "cls").mapInArrow(_chooser(ship, picks, rare, runs, True), schema)
-    candidates = materialize(candidates.distinct(), "chosen-path-candidates")
-    met = candidates.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    needed = materialize(sets.select("cls", "tokens").join(met, "cls", "left_semi").dropDuplicates(["cls"]), "chosen-path-sets")
-    return _jaccard(candidates, needed).filter(F.col("similarity") >= threshold - 1e-12)
+    candidates = levels[0]
+    for x in levels[1:]:
+        candidates = candidates.unionByName(x)
+    return _jaccard(candidates.distinct(), sets.select("cls", "tokens").dropDuplicates(["cls"])).filter(F.col("similarity") >= threshold - 1e-12)
 
 
 def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
