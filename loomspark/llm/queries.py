@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspark.llm import encoding, language, mojibake, nearcopies, neighbors, packing, subjects
+from loomspark.llm import encoding, language, mojibake, nearcopies, neighbors, packing, scanned, subjects
 from loomspark.session import table
 
 
@@ -55,6 +55,15 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subjects.file_subjects(_subjects(spark, sf_dir)).select("source_file", "area")
 
 
+def p4_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readable paragraphs of every chunk from a scanned file."""
+    return scanned.scanned_repair(prose(spark, sf_dir))[1]
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scanned.scanned_repair(prose(spark, sf_dir))[0]
+
+
 def p5_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten most similar vectors of every vector, as far as they have a cosine of 0.8 or more."""
     return neighbors.nearest(table(spark, sf_dir, "chunk_vectors"))
@@ -81,5 +90,5 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mojibake.find_damage(table(spark, sf_dir, "documents")).select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_languages, p1_found, p2_groups, p2_found, p3_chunks, p3_shares, p3_found, p5_neighbors, p5_found, p6_ids, p7_packing, p8_restored, p8_found)}
+QUERIES = {f.__name__: f for f in (p1_languages, p1_found, p2_groups, p2_found, p3_chunks, p3_shares, p3_found, p4_texts, p4_found, p5_neighbors, p5_found, p6_ids, p7_packing, p8_restored, p8_found)}
 ORACLES: dict[str, str] = {}
