@@ -49,18 +49,25 @@ def content_type(c: Column) -> Column:
     )
 
 
-def domain(c: Column, kws: Column) -> Column:
-    """(domain, sub_domain): keyword counts in the lower-cased text plus 5 for each equal keyword; first domain wins ties."""
-    low, kw_low = F.lower(c), F.transform(kws, F.lower)
+def with_domain(df: DataFrame, text_col: str, keywords_col: str) -> DataFrame:
+    """Adds ``domain, sub_domain``: keyword counts in the lower-cased text plus 5 for each equal keyword; first domain wins ties.
+
+    The steps are selects of their own, so that no step is computed again for each use of its result.
+    """
+    words = [(d, w) for d, ws in DOMAINS.items() for w in ws]
+    one = df.withColumn("_low", F.lower(text_col)).withColumn("_kw", F.transform(keywords_col, F.lower))
+    one = one.withColumn("_n", F.array(*(count_sub(F.col("_low"), w) for _, w in words)))
     scored = []
-    for name, words in DOMAINS.items():
-        counts = F.array(*(F.struct(count_sub(low, w).alias("n"), F.lit(-i).alias("o"), F.lit(w).alias("w")) for i, w in enumerate(words)))
-        score = F.aggregate(counts, F.lit(0), lambda a, x: a + x["n"]) + F.lit(5) * F.size(F.array_intersect(kw_low, F.array(*map(F.lit, words))))
-        top = F.array_max(counts)
-        scored.append(F.struct(score.alias("score"), F.lit(-len(scored)).alias("o"), F.lit(name).alias("domain"), F.when(top["n"] > 0, top["w"]).otherwise("").alias("sub")))
-    best = F.array_max(F.array(*scored))
-    hit = best["score"] > 0
-    return F.when(c.isNotNull(), F.struct(F.when(hit, best["domain"]).otherwise("general").alias("domain"), F.when(hit, best["sub"]).otherwise("").alias("sub_domain")))
+    for o, (name, ws) in enumerate(DOMAINS.items()):
+        at = [i for i, (d, _) in enumerate(words) if d == name]
+        n = [F.get("_n", F.lit(i)) for i in at]
+        top = F.greatest(*(F.struct(x.alias("n"), F.lit(-i).alias("o"), F.lit(w).alias("w")) for i, (x, w) in enumerate(zip(n, ws, strict=True))))
+        score = sum(n[1:], n[0]) + F.lit(5) * F.size(F.array_intersect("_kw", F.array(*map(F.lit, ws))))
+        scored.append(F.struct(score.alias("score"), F.lit(-o).alias("o"), F.lit(name).alias("domain"), top.alias("top")))
+    one = one.withColumn("_best", F.greatest(*scored))
+    hit, known = F.col("_best.score") > 0, F.col(text_col).isNotNull()
+    sub = F.when(hit & (F.col("_best.top.n") > 0), F.col("_best.top.w")).otherwise("")
+    return one.withColumn("domain", F.when(known, F.when(hit, F.col("_best.domain")).otherwise("general"))).withColumn("sub_domain", F.when(known, sub)).drop("_low", "_kw", "_n", "_best")
 
 
 def summary(c: Column, length: int = 300) -> Column:
@@ -102,14 +109,13 @@ def language_votes(c: Column) -> Column:
 
 def front_matter(docs: DataFrame, text_col: str = "text", source_file_col: str = "source_file", source_format_col: str = "source_format") -> DataFrame:
     """All metadata of each document beside its columns, for prepared bodies without their old front matter."""
-    body = without_front_matter(F.col(text_col))
-    with_kw = docs.withColumn("body", body).withColumn("keywords", keywords(F.col("body"))).withColumn("_d", domain(F.col("body"), F.col("keywords")))
-    return with_kw.select(
+    body = docs.withColumn("body", without_front_matter(F.col(text_col))).withColumn("keywords", keywords(F.col("body")))
+    return with_domain(body, "body", "keywords").select(
         *docs.columns,
         "body",
         title(F.col("body")).alias("md_title"),
-        F.col("_d.domain").alias("domain"),
-        F.col("_d.sub_domain").alias("sub_domain"),
+        "domain",
+        "sub_domain",
         "keywords",
         summary(F.col("body")).alias("summary"),
         language_votes(F.col("body")).alias("language"),

@@ -40,7 +40,7 @@ def keywords(x: str) -> str:
     links = f"list_transform(list_filter(regexp_extract_all({x}, '\\[([^\\]]+)\\]\\([^)]+\\)', 1), lambda t: length(t) > 2 and length(t) < 50), lambda t: {strip('t')})"
     found = f"list_distinct(list_concat({heads}, {bold}, {langs}, {links}))"
     kept = f"list_filter({found}, lambda w: not list_contains({listed(STOP_WORDS)}, lower(w)))"
-    return f"list_transform(list_sort(list_transform({kept}, lambda w: {{'n': -length(w), 'w': w}}))[1:10], lambda r: r.w)"
+    return f"case when {x} is not null then list_transform(list_sort(list_transform({kept}, lambda w: {{'n': -length(w), 'w': w}}))[1:10], lambda r: r.w) end"
 
 
 def content_type(x: str) -> str:

@@ -59,8 +59,8 @@ def meta_content_type(spark, d):
 
 @query
 def meta_domain(spark, d):
-    found = metadata.domain(F.col("text"), metadata.keywords(F.col("text")))
-    return docs(spark, d).select("doc_id", found.alias("d")).select("doc_id", "d.domain", "d.sub_domain")
+    kws = docs(spark, d).select("doc_id", "text", metadata.keywords(F.col("text")).alias("kws"))
+    return metadata.with_domain(kws, "text", "kws").select("doc_id", "domain", "sub_domain")
 
 
 @query

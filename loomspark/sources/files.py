@@ -35,7 +35,7 @@ def split_front_matter(content: Column) -> tuple[Column, Column]:
     """(front matter, body): between the first line '---' and the next; texts without one have an empty front matter."""
     pattern = r"(?s)^---\n(.*?)\n---\n?(.*)$"
     has = content.rlike(pattern)
-    return F.when(has, F.regexp_extract(content, pattern, 1)).otherwise(""), F.when(has, strip(F.regexp_extract(content, pattern, 2))).otherwise(content)
+    return F.when(has, F.regexp_extract(content, pattern, 1)).when(content.isNotNull(), ""), F.when(has, strip(F.regexp_extract(content, pattern, 2))).otherwise(content)
 
 
 def front_matter_value(front: Column, key: str) -> Column:
