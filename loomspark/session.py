@@ -40,13 +40,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``; a folder of its own only where that is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="loomspark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder.rstrip("/")
+    app = spark.sparkContext.applicationId
+    if app not in _own_folders:
+        _own_folders[app] = tempfile.mkdtemp(prefix="loomspark-")
+    return _own_folders[app]
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
