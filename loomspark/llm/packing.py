@@ -54,7 +54,7 @@ def piece_counter(name: str, path: str | None = None):
                     key = w if k else " " + w  # the model starts a text with a blank
                     n = memo.get(key)
                     if n is None:
-                        n = len(sp.encode(key[1:], num_threads=1))
+                        n = len(sp.encode(key[1:], num_threads=1)) if len(key) > 1 else 1  # a last single blank
                         if len(memo) >= MEMO:
                             memo.clear()
                         memo[key] = n

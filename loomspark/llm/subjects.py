@@ -242,7 +242,7 @@ def fit_on(chunks: DataFrame, labels: DataFrame, areas: list[str], sample_rows:
     return fit([r.t for r in rows], [r.d for r in rows], [r.chunk_type for r in rows], [r.people or [] for r in rows], areas)
 
 
-def chunk_subjects(chunks: DataFrame, labels: DataFrame, subject_areas: DataFrame, sample_rows: int = 2500, beam: int = 6) -> DataFrame:
+def chunk_subjects(chunks: DataFrame, labels: DataFrame, subject_areas: DataFrame, sample_rows: int = 2000, beam: int = 6) -> DataFrame:
     """``(chunk_id, source_file, area, probability, areas)`` of every chunk of ``chunks`` (prose only).
 
     ``area`` is the main subject, the one with the highest marginal; ``areas`` the likeliest combination. Rows
