@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -98,16 +99,23 @@ class Quantizer:
         """One table for each codebook: (codeword, query) -> dot product."""
         return [b @ q.T for b in self.books]
 
-    def scores(self, q: np.ndarray, codes: np.ndarray, inverse_norm: np.ndarray) -> np.ndarray:
-        """(coded vector, query) -> cosine by table lookups."""
-        total = None
-        for table, code in zip(self.tables(q), codes.T, strict=True):
-            part = table[code]
-            total = part if total is None else np.add(total, part, out=total)
-        return total * inverse_norm[:, None]
-
-
-def fit(x: np.ndarray, first: int = 1024, others: int = 6, words: int = 256, seed: int = 7) -> Quantizer:
+    def above(self, q: np.ndarray, codes: np.ndarray, bound: np.ndarray) -> np.ndarray:
+        """(coded vector, query) -> whether the dot product by table lookups reaches the vector's bound."""
+        tables = self.tables(q)
+        out = np.empty((len(codes), len(q)), bool)
+        total, part = np.empty((512, len(q)), np.float32), np.empty((512, len(q)), np.float32)
+        for lo in range(0, len(codes), 512):  # so few that the sums stay in a core's cache
+            c = codes[lo : lo + 512]
+            t, p = total[: len(c)], part[: len(c)]
+            np.take(tables[0], c[:, 0], axis=0, out=t, mode="clip")
+            for j in range(1, len(tables)):
+                np.take(tables[j], c[:, j], axis=0, out=p, mode="clip")
+                t += p
+            np.greater_equal(t, bound[lo : lo + 512, None], out=out[lo : lo + 512])
+        return out
+
+
+def fit(x: np.ndarray, first: int = 64, others: int = 4, words: int = 256, seed: int = 7) -> Quantizer:
     """Codebooks from a sample of unit vectors."""
     rng = np.random.default_rng(seed)
     x = x.astype(np.float32)
@@ -122,9 +130,8 @@ def fit(x: np.ndarray, first: int = 1024, others: int = 6, words: int = 256, see
     return q
 
 
-def exact_top(q_ids: np.ndarray, q: np.ndarray, d_ids: np.ndarray, d: np.ndarray, codes: np.ndarray, inverse: np.ndarray, model: Quantizer, k: int, least: float) -> list[tuple]:
+def exact_top(q_ids: np.ndarray, q: np.ndarray, d_ids: np.ndarray, d: np.ndarray, codes: np.ndarray, inverse: np.ndarray, model: Quantizer, k: int, least: float) -> pd.DataFrame:
     """(query, neighbour, cosine) of the k best vectors of a block for each query of a block; ``d_ids`` is sorted."""
-    out = []
     q64, d64 = unit(q.astype(np.float64)), unit(d.astype(np.float64))
     q32, d32 = q64.astype(np.float32), d64.astype(np.float32)
     at = np.searchsorted(d_ids, q_ids)
@@ -133,36 +140,37 @@ def exact_top(q_ids: np.ndarray, q: np.ndarray, d_ids: np.ndarray, d: np.ndarray
     for book, code in zip(model.books, codes.T, strict=True):
         near += book[code]
     spread = 3 * np.sqrt(max(0.0, 1 - least * least) / d.shape[1])
-    bound = (least * (near * d32).sum(1) * inverse - spread).astype(np.float32)
+    bound = ((least * (near * d32).sum(1) * inverse - spread) / inverse).astype(np.float32)
+    found = []
     for lo in range(0, len(q), 256):
         qs, own_s = q32[lo : lo + 256], own[lo : lo + 256]
-        s = np.ascontiguousarray(model.scores(qs, codes, inverse).T)
-        rows = np.flatnonzero(own_s >= 0)
-        s[rows, own_s[rows]] = -2
-        keep = s >= bound
-        if not keep.any():
-            continue
-        live = np.flatnonzero(keep.any(1))
-        if keep.mean() > 0.03:  # many to rank again: one matrix product
-            e = np.where(keep[live], qs[live] @ d32.T, -2)
-            for r, row in zip(live, e, strict=True):
-                cols = np.flatnonzero(row >= least - 1e-5)
-                if len(cols) > k:
-                    v = row[cols]
-                    cols = cols[v >= np.partition(v, len(v) - k)[len(v) - k] - 3e-6]
-                _rank(out, q_ids[lo + r], q64[lo + r], d_ids, d64, cols, k, least)
+        keep = model.above(qs, codes, bound)  # (vector, query)
+        cols = np.flatnonzero(own_s >= 0)
+        keep[own_s[cols], cols] = False
+        if np.count_nonzero(keep) > 0.03 * keep.size:  # many to rank again: first by one matrix product in single precision
+            e = d32 @ qs.T
+            keep &= e >= least - 1e-5
+            j, i = np.nonzero(keep)
+            v = e[j, i]
+            order = np.lexsort((-v, i))
+            j, i, v = j[order], i[order], v[order]
+            first = np.searchsorted(i, i)
+            last = np.minimum(first + k - 1, np.searchsorted(i, i, side="right") - 1)
+            close = v >= v[last] - 3e-6
+            j, i = j[close], i[close]
         else:
-            for r in live:
-                _rank(out, q_ids[lo + r], q64[lo + r], d_ids, d64, np.flatnonzero(keep[r]), k, least)
-    return out
-
-
-def _rank(out: list, q_id: str, q: np.ndarray, d_ids: np.ndarray, d: np.ndarray, cols: np.ndarray, k: int, least: float) -> None:
-    c = np.round(d[cols] @ q, 6)
-    fine = c >= least
-    cols, c = cols[fine], c[fine]
-    best = np.lexsort((cols, -c))[:k]  # ids are sorted, so columns break ties
-    out.extend((q_id, d_ids[j], float(v)) for j, v in zip(cols[best], c[best], strict=True))
+            j, i = np.nonzero(keep)
+        cos = np.concatenate([np.einsum("ij,ij->i", d64[j[x : x + 50_000]], q64[i[x : x + 50_000] + lo]) for x in range(0, len(j), 50_000)] or [np.empty(0)])
+        cos = np.round(cos, 6)
+        fine = cos >= least
+        i, j, cos = i[fine], j[fine], cos[fine]
+        order = np.lexsort((j, -cos, i))  # ids are sorted, so places break ties
+        i, j, cos = i[order], j[order], cos[order]
+        rank = np.arange(len(i)) - np.searchsorted(i, i)
+        best = rank < k
+        found.append((i[best] + lo, j[best], cos[best]))
+    i, j, cos = (np.concatenate(x) for x in zip(*found, strict=True))
+    return pd.DataFrame({"_id": q_ids[i], "neighbor": d_ids[j], "similarity": cos})
 
 
 def nearest(
@@ -171,10 +179,10 @@ def nearest(
     vec_col: str = "embedding",
     k: int = 10,
     min_similarity: float = 0.8,
-    probes: int = 5,
-    probe_margin: float = 0.08,
+    probes: int = 3,
+    probe_margin: float = 0.06,
     sample_rows: int = 6144,
-    block_rows: int = 6000,
+    block_rows: int = 50_000,
     seed: int = 7,
 ) -> DataFrame:
     """``(id, neighbor, similarity, rank)``: the k most similar vectors of every usable vector, similarity rounded to 6 decimals.
@@ -182,7 +190,7 @@ def nearest(
     A vector is usable if it isn't null, has the most common length, only finite numbers and not only zeros. Ids
     delivered twice count once, an id isn't its own neighbour, and of equal similarities the smaller id comes first.
     Neighbours below ``min_similarity`` are left out. An empty table gives an empty result. The codebooks are fitted on
-    ``sample_rows`` vectors; all are indexed and all are queries.
+    ``sample_rows`` vectors; all are indexed and all are queries. The number of cells grows with the root of the rows.
     """
     spark = vectors.sparkSession
     out_schema = "_id string, neighbor string, similarity double"
@@ -209,7 +217,7 @@ def nearest(
     if not sample:
         return spark.createDataFrame([], out_schema + ", rank int").withColumnRenamed("_id", id_col)
     x = unit(np.array([r["_v"] for r in sample], np.float64)).astype(np.float32)
-    model = fit(x, seed=seed)
+    model = fit(x, first=int(min(4096, max(32, n_rows**0.5 / 15))), seed=seed)
     # blocks for each cell from the sample's shares
     order, close = _visits(model, x, probes, probe_margin)
     share = lambda cells: np.bincount(cells, minlength=len(model.books[0])) * (n_rows / len(x))
@@ -253,9 +261,11 @@ def nearest(
                 data = np.empty((len(r), 4 * dim), np.uint8)
                 data[:] = raw.view(np.uint8).reshape(len(raw), -1)[r]
                 vec = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * dim), len(r), [None, pa.py_buffer(data)]).cast(pa.binary())
+                stored = role != 2  # a row that is only a query needs no code
                 code = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * codes.shape[1]), len(r), [None, pa.py_buffer(np.ascontiguousarray(codes[r].astype(np.uint16)))]).cast(pa.binary())
+                code = pc.if_else(pa.array(stored), code, pa.scalar(None, pa.binary()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c.astype(np.int32)), pa.array(db.astype(np.int32)), pa.array(qb.astype(np.int32)), pa.array(role.astype(np.int8)), ids.take(pa.array(r)), vec, code, pa.array(inverse[r])],
+                    [pa.array(c.astype(np.int32)), pa.array(db.astype(np.int32)), pa.array(qb.astype(np.int32)), pa.array(role.astype(np.int8)), ids.take(pa.array(r)), vec, code, pa.array(inverse[r], mask=~stored)],
                     ["cell", "db", "qb", "role", "_id", "vec", "code", "inv"],
                 )
 
@@ -268,11 +278,10 @@ def nearest(
         d, q = np.flatnonzero(role & 1), np.flatnonzero(role & 2)
         first = lambda at: at[np.concatenate([[True], ids[at][1:] != ids[at][:-1]])] if len(at) else at
         d, q = first(d), first(q)
-        rows = []
-        if len(d) and len(q):
-            codes = np.frombuffer(b"".join(pdf["code"].iloc[d]), np.uint16).reshape(len(d), -1)
-            rows = exact_top(ids[q], vec[q], ids[d], vec[d], codes, pdf["inv"].to_numpy()[d], m, k, min_similarity)
-        return pd.DataFrame(rows, columns=["_id", "neighbor", "similarity"])
+        if not len(d) or not len(q):
+            return pd.DataFrame({"_id": [], "neighbor": [], "similarity": []})
+        codes = np.frombuffer(b"".join(pdf["code"].iloc[d]), np.uint16).reshape(len(d), -1)
+        return exact_top(ids[q], vec[q], ids[d], vec[d], codes, pdf["inv"].to_numpy()[d], m, k, min_similarity)
 
     placed = usable.mapInArrow(place, "cell int, db int, qb int, role tinyint, _id string, vec binary, code binary, inv float")
     found = placed.groupBy("cell", "db", "qb").applyInPandas(search, out_schema)
