@@ -55,25 +55,40 @@ def normalised_label(label: Column) -> Column:
     return F.when(base.isin(NOT_KNOWN), F.lit("")).otherwise(F.coalesce(F.element_at(known, head), base))
 
 
-def sentences(text: str) -> list[tuple[str, bool]]:
-    """(sentence, whole) of the prose of a text: headings, code, and asides in brackets are left out.
-
-    A sentence is whole if it ends with a stop and has three words or more.
-    """
-    text = _BREAK.sub("", _CODE.sub(" ", text.replace("\r\n", "\n")))
+def pieces(text: str) -> list[str]:
+    """The sentences of the prose of a text: headings, code, and asides in brackets are left out."""
+    if "\r" in text:
+        text = text.replace("\r\n", "\n")
+    if "`" in text:
+        text = _CODE.sub(" ", text)
+    if "\n" in text:
+        text = _BREAK.sub("", text)
     found = []
     for block in _BLOCK.split(text):
-        if block.lstrip().startswith(("#", "|")):
-            first, _, block = block.lstrip().partition("\n")  # the line after a heading may be prose
-            if first.startswith("|"):
+        block = block.lstrip()
+        if block.startswith(("#", "|")):
+            first, _, block = block.partition("\n")  # the line after a heading may be prose
+            if first[0] == "|":
                 continue
-        block = _ASIDE.sub(" ", _MARK.sub("", block))
-        for s in _STOP.split(" ".join(block.split())):
-            if len(s) >= 8:
-                found.append((s, bool(_WHOLE.search(s)) and len(_WORD.findall(s)) >= 3))
+        block = _MARK.sub("", block)
+        if "(" in block or "[" in block:
+            block = _ASIDE.sub(" ", block)
+        found += [s for s in _STOP.split(" ".join(block.split())) if len(s) >= 8]
     return found
 
 
+def is_whole(sentence: str) -> bool:
+    """Whether a sentence ends with a stop and has three words or more."""
+    if not _WHOLE.search(sentence[-24:]):
+        return False
+    return sentence.count(" ") >= 8 or len(_WORD.findall(sentence)) >= 3
+
+
+def sentences(text: str) -> list[tuple[str, bool]]:
+    """(sentence, whole) of a text."""
+    return [(s, is_whole(s)) for s in pieces(text)]
+
+
 def presence(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The presence matrix of texts in coordinate form, (text number, gram hash), and the row sizes."""
     joined = "\x00".join(texts).lower() + "\x00" * max(ORDERS)
@@ -103,17 +118,17 @@ def presence(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class KernelModel:
     """Weights per landmark n-gram; ``scores`` is the batched product of presence rows with them."""
 
-    BITS = 21
+    BITS = 18
 
     def __init__(self, grams: np.ndarray, weights: np.ndarray, beta: float):
-        self.grams, self.weights, self.beta = grams, weights, beta
+        self.grams, self.weights, self.beta = grams, np.asarray(weights, np.float32), beta
         self._table = None
 
     def __getstate__(self):
         return {"grams": self.grams, "weights": self.weights, "beta": self.beta, "_table": None}
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        if self._table is None:  # slot -> gram number, open addressing over hash bits with the full hash checked
+        if self._table is None:  # hash bits -> gram number; the full hash is compared
             self._table = np.full(1 << self.BITS, -1, np.int32)
             self._table[(self.grams & np.uint64((1 << self.BITS) - 1)).astype(np.int64)] = np.arange(len(self.grams), dtype=np.int32)
         who, key, size = presence(texts)
@@ -194,16 +209,29 @@ def fit(texts: list[str], labels: list[str], landmarks: int = 350, ridge: float
     return model
 
 
-def label_sentences(model: KernelModel, parts: list[tuple[str, bool]], scores: np.ndarray, doubt: float = 0.25) -> list[int]:
+def label_sentences(scores: np.ndarray, doubt: float = 0.25) -> list[int]:
     """The language number of each sentence; where the two best scores are close, the better of them in the whole text."""
-    if not parts:
-        return []
-    total = scores.sum(0)
-    out = []
-    for r in scores:
-        a, b = np.argsort(-r)[:2]
-        out.append(int(a if r[a] - r[b] >= doubt or total[a] >= total[b] else b))
-    return out
+    order = np.argsort(-scores, axis=1)
+    return _settled([(r, int(a), int(b), bool(r[a] - r[b] < doubt)) for r, (a, b) in zip(scores, order[:, :2], strict=True)])
+
+
+def _settled(rated: list[tuple]) -> list[int]:
+    """``rated`` has (scores, best, second, close) of each sentence of a text."""
+    if not any(r[3] for r in rated):
+        return [r[1] for r in rated]
+    total = np.sum([r[0] for r in rated], axis=0)
+    return [a if not close or total[a] >= total[b] else b for _, a, b, close, *_ in rated]
+
+
+def rate(model: KernelModel, texts: list[str], doubt: float = 0.25) -> list[tuple]:
+    """(scores, best, second, close, probabilities, whole) of each sentence."""
+    scores = model.scores(texts)
+    order = np.argsort(-scores, axis=1)
+    row = np.arange(len(texts))
+    close = scores[row, order[:, 0]] - scores[row, order[:, 1]] < doubt
+    z = np.exp(model.beta * (scores - scores.max(1, keepdims=True)))
+    prob = z / z.sum(1, keepdims=True)
+    return list(zip(scores, order[:, 0].tolist(), order[:, 1].tolist(), close.tolist(), prob.tolist(), map(is_whole, texts), strict=True))
 
 
 def fit_on(chunks: DataFrame, id_col: str, text_col: str, label_col: str, sample_rows: int) -> KernelModel:
@@ -232,40 +260,37 @@ def detect_segments(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = ship.value
-        known: dict[str, np.ndarray] = {}
+        known: dict[str, tuple] = {}
         for whole_batch in batches:
             for at in range(0, whole_batch.num_rows, 4000):
                 b = whole_batch.slice(at, 4000)
-                parts = [sentences(t) if t else [] for t in b.column("_text").to_pylist()]
-                new = list({s for p in parts for s, _ in p if s not in known})
+                split = [pieces(t) if t else [] for t in b.column("_text").to_pylist()]
                 if len(known) > 200_000:
                     known = {}
-                    new = list({s for p in parts for s, _ in p})
-                for lo in range(0, len(new), 20_000):
-                    known.update(zip(new[lo : lo + 20_000], m.scores(new[lo : lo + 20_000]), strict=True))
+                new = list({s for p in split for s in p if s not in known})
+                for lo in range(0, len(new), 2_000):  # so few that the sorted grams stay in a core's cache
+                    known.update(zip(new[lo : lo + 2_000], rate(m, new[lo : lo + 2_000]), strict=True))
                 lang, conf, segs, wholes = [], [], [], []
-                for p in parts:
+                for p in split:
                     if not p:
                         lang.append(None), conf.append(0.0), segs.append([]), wholes.append([])
                         continue
-                    scores = np.stack([known[s] for s, _ in p])
-                    labels = label_sentences(m, p, scores)
-                    z = m.beta * scores
-                    z = np.exp(z - z.max(1, keepdims=True))
-                    prob = z / z.sum(1, keepdims=True)
-                    runs, size = [], np.zeros(len(LANGUAGES))
-                    for (s, _), l, pr in zip(p, labels, prob, strict=True):
+                    rated = [known[s] for s in p]
+                    labels = _settled(rated)
+                    runs, size = [], [0] * len(LANGUAGES)
+                    for s, l, r in zip(p, labels, rated, strict=True):
                         size[l] += len(s)
                         if runs and runs[-1][1] == l:
                             runs[-1][0].append(s)
-                            runs[-1][2].append(pr[l])
+                            runs[-1][2].append(r[4][l])
                         else:
-                            runs.append(([s], l, [pr[l]]))
-                    top = int(size.argmax())
+                            runs.append(([s], l, [r[4][l]]))
+                    top = size.index(max(size))
                     lang.append(LANGUAGES[top])
-                    conf.append(float(np.mean([q for _, l, c in runs for q in c if l == top])))
-                    segs.append([{"text": " ".join(t), "language": LANGUAGES[l], "confidence": float(np.mean(c))} for t, l, c in runs])
-                    wholes.append(sorted({LANGUAGES[l] for (_, w), l in zip(p, labels, strict=True) if w}))
+                    own = [q for _, l, c in runs if l == top for q in c]
+                    conf.append(sum(own) / len(own))
+                    segs.append([{"text": " ".join(t), "language": LANGUAGES[l], "confidence": sum(c) / len(c)} for t, l, c in runs])
+                    wholes.append(sorted({LANGUAGES[l] for l, r in zip(labels, rated, strict=True) if r[5]}))
                 yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("label"), pa.array(lang, pa.string()), pa.array(conf, pa.float64()), pa.array(segs, seg_arrow), pa.array(wholes, pa.list_(pa.string()))], names)
 
     base = chunks.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), normalised_label(F.col(label_col)).alias("label"))
