@@ -29,8 +29,13 @@ def _near(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def p2_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Class, group and number of links of every chunk."""
-    return nearcopies.copy_groups(*_near(spark, sf_dir), "chunk_id")
+    """Class, group and number of links of every chunk; code, tables and short texts stand alone."""
+    groups = nearcopies.copy_groups(*_near(spark, sf_dir), "chunk_id")
+    ids = table(spark, sf_dir, "chunks").select("chunk_id").filter("chunk_id is not null").distinct()
+    alone = F.xxhash64("chunk_id")
+    return ids.join(groups, "chunk_id", "left").select(
+        "chunk_id", F.coalesce("class_id", alone).alias("class_id"), F.coalesce("group_id", alone).alias("group_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")
+    )
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,4 +96,13 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_languages, p1_found, p2_groups, p2_found, p3_chunks, p3_shares, p3_found, p4_texts, p4_found, p5_neighbors, p5_found, p6_ids, p7_packing, p8_restored, p8_found)}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "p2_found": """
+        with w as (select distinct chunk_id, regexp_extract_all(lower(chunk_text), '[\\p{L}\\p{N}]+') as w from chunks
+                   where coalesce(chunk_type, '') not in ('code', 'table') and length(chunk_text) > 0),
+        s as (select chunk_id, list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) as s from w where len(w) >= 25),
+        t as (select chunk_id, len(s) as n, unnest(s) as x from s),
+        p as (select a.chunk_id as a, b.chunk_id as b, count(*) as common, any_value(a.n) + any_value(b.n) as total from t a join t b on a.x = b.x and a.chunk_id < b.chunk_id group by 1, 2)
+        select a as chunk_id_a, b as chunk_id_b from p where common / (total - common) >= 0.6 - 1e-12
+    """,
+}

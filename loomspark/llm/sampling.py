@@ -23,7 +23,7 @@ def bounded_sample(df: DataFrame, id_col: str, rows: int, by: str | None = None)
     picked = df.filter(F.col("_h").cast("double") <= F.element_at(bound, key)).collect()
     out: list[Row] = []
     taken = dict.fromkeys(counts, 0)
-    for r in sorted(picked, key=lambda r: (r["_h"], str(r))):
+    for r in sorted(picked, key=lambda r: r["_h"]):
         k = r[by] if by else ""
         if taken[k] < rows:
             taken[k] += 1
