@@ -250,10 +250,10 @@ def t6_enrichment_counts(spark, d):
 
 @query
 def v1_embed_inputs(spark, d):
-    m = table(spark, d, "model_info").select(F.col("model_name")).limit(1)  # the table has one row
-    both = chunk_rows(spark, d).select("chunk_id", "chunk_text").crossJoin(F.broadcast(m))
-    e5 = F.lit("intfloat/multilingual-e5-large")
-    return both.select("chunk_id", F.md5(vector.embed_input(F.col("model_name"), F.col("chunk_text"))).alias("own"), F.md5(vector.embed_input(e5, F.col("chunk_text"))).alias("passage"), F.md5(vector.embed_input(e5, F.col("chunk_text"), True)).alias("query"))
+    row = table(spark, d, "model_info").select("model_name").first()  # the table has one row
+    model, e5 = F.lit(row.model_name if row else None), F.lit("intfloat/multilingual-e5-large")
+    inputs = {"own": vector.embed_input(model, F.col("chunk_text")), "passage": vector.embed_input(e5, F.col("chunk_text")), "query": vector.embed_input(e5, F.col("chunk_text"), True)}
+    return chunk_rows(spark, d).select("chunk_id", *(F.md5(x).alias(k) for k, x in inputs.items()))
 
 
 @query

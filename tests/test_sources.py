@@ -50,3 +50,12 @@ def test_watch_folder(spark, tmp_path):
         watch_folder(spark, str(src), str(out), str(cp), lambda t=t: t).awaitTermination()
     got = {r.source_file: (r.version, r.created_at) for r in spark.read.parquet(str(out)).collect()}
     assert got == {"a.md": (1, "t1"), "b.md": (1, "t1"), "c.md": (1, "t2")}
+
+
+def test_binary_extractors(spark, tmp_path):
+    from loomspark.sources.binary import read_binary
+
+    for name, data in (("a.PDF", b"text"), ("b.pdf", b""), ("c.pdf", b"\xff"), ("d.doc", b"x")):
+        (tmp_path / name).write_bytes(data)
+    got = {r.source_file: (r.content, r.error and r.error.split(":")[0]) for r in read_binary(spark, str(tmp_path), {"pdf": bytes.decode}).collect()}
+    assert got == {"a.PDF": ("text", None), "b.pdf": (None, "empty result"), "c.pdf": (None, "UnicodeDecodeError")}
