@@ -78,10 +78,10 @@ def pieces(text: str) -> list[str]:
 
 
 def is_whole(sentence: str) -> bool:
-    """Whether a sentence ends with a stop and has three words or more."""
+    """Whether a sentence ends with a stop, has three words or more, and begins like one: a few words in small letters are a rest."""
     if not _WHOLE.search(sentence[-24:]):
         return False
-    return sentence.count(" ") >= 8 or len(_WORD.findall(sentence)) >= 3
+    return sentence.count(" ") >= 8 or (len(_WORD.findall(sentence)) >= 3 and not sentence.lstrip("\"'“”‘’«»„¿¡*_ ")[:1].islower())
 
 
 def sentences(text: str) -> list[tuple[str, bool]]:
