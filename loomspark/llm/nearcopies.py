@@ -6,9 +6,9 @@ more than ``bucket_limit`` sets is split again by tokens chosen anew within it,
 Two sets meet if they choose a shared token. Tokens are chosen with a probability that falls with their frequency
 (estimated by a count sketch of fixed size; a token that is counted once is in no other set), so that stock phrases
 don't fill the buckets, and that is scaled to ``picks`` tokens a set and level. A pair whose shared tokens carry the
-part s of the larger set's weight is missed by all runs with a probability of about exp(-runs * picks * s): below 1 %
+part s of the larger set's weight is missed by all runs with a probability of about exp(-runs * picks * s): below 0.3 %
 at s = 0.5 with the default values. Pairs in a bucket are compared by their sizes and by 128-bit sketches of their sets (a pair at
-the threshold falls below ``sketch_agree`` equal bits in about one case in two thousand), the rest by their exact sets.
+the threshold falls below ``sketch_agree`` equal bits in about one case in a thousand), the rest by their exact sets.
 """
 
 from __future__ import annotations
@@ -232,7 +232,7 @@ def _jaccard(pairs: DataFrame, shingle_sets: DataFrame) -> DataFrame:
 
 
 def class_pairs(
-    sets: DataFrame, threshold: float, runs: int = 6, picks: float = 1.6, rare: float = 20.0, bucket_limit: int = 200, max_depth: int = 8, sketch_agree: int | None = None
+    sets: DataFrame, threshold: float, runs: int = 6, picks: float = 2.0, rare: float = 20.0, bucket_limit: int = 200, max_depth: int = 8, sketch_agree: int | None = None
 ) -> DataFrame:
     """``(a, b, similarity)``: the pairs of different classes of ``sets`` with a Jaccard similarity of the threshold or more."""
     spark = sets.sparkSession
@@ -240,7 +240,7 @@ def class_pairs(
     if sketch_agree is None:
         cosine = 2 * threshold / (1 + threshold)
         agree = 1 - np.arccos(cosine) / np.pi
-        sketch_agree = int(128 * agree - 3.3 * np.sqrt(128 * agree * (1 - agree)))
+        sketch_agree = int(128 * agree - 3.1 * np.sqrt(128 * agree * (1 - agree)))
     schema = "path bigint, cls bigint, n int, s0 bigint, s1 bigint"
     level = sets.select("cls", "n", "tokens").mapInArrow(_chooser(ship, picks, rare, runs, False), schema)
     met = _met(bucket_limit, sketch_agree, threshold - 1e-9)
