@@ -281,14 +281,18 @@ def nearest(
         if not len(d) or not len(q):
             return pd.DataFrame({"_id": [], "neighbor": [], "similarity": []})
         codes = np.frombuffer(b"".join(pdf["code"].iloc[d]), np.uint16).reshape(len(d), -1)
-        return exact_top(ids[q], vec[q], ids[d], vec[d], codes, pdf["inv"].to_numpy()[d], m, k, min_similarity)
+        found = exact_top(ids[q], vec[q], ids[d], vec[d], codes, pdf["inv"].to_numpy()[d], m, k, min_similarity)
+        # a visitor's pair counts for the other side too, which may not visit the visitor's cell
+        visitors = found[found["_id"].isin(ids[q][role[q] == 2])]
+        return pd.concat([found, visitors.rename(columns={"_id": "neighbor", "neighbor": "_id"})[found.columns]], ignore_index=True)
 
     placed = usable.mapInArrow(place, "cell int, db int, qb int, role tinyint, _id string, vec binary, code binary, inv float")
     found = placed.groupBy("cell", "db", "qb").applyInPandas(search, out_schema)
     if extra is not None:
         found = found.unionByName(extra)
     best = Window.partitionBy("_id").orderBy(F.desc("similarity"), "neighbor")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).withColumnRenamed("_id", id_col)
+    ranked = found.withColumn("rank", F.dense_rank().over(best)).filter(F.col("rank") <= k)  # a pair that came twice has one rank
+    return ranked.dropDuplicates(["_id", "neighbor"]).withColumnRenamed("_id", id_col)
 
 
 def _visits(model: Quantizer, v: np.ndarray, probes: int, margin: float) -> tuple[np.ndarray, np.ndarray]:
