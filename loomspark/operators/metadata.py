@@ -73,12 +73,12 @@ def with_domain(df: DataFrame, text_col: str, keywords_col: str) -> DataFrame:
 def summary(c: Column, length: int = 300) -> Column:
     """The first paragraph of more than 30 characters without markup, cut to ``length``; headings end paragraphs."""
     body = strip(F.coalesce(after_front_matter(c), c))
-    marked = F.transform(lines(body), lambda x: F.when(F.startswith(strip(x), F.lit("#")), F.lit("")).otherwise(strip(x)))
+    marked = F.transform(F.transform(lines(body), strip), lambda s: F.when(F.startswith(s, F.lit("#")), F.lit("")).otherwise(s))
     paragraphs = F.filter(F.split(F.array_join(marked, "\n"), "\n\n+", -1), lambda p: p != "")
     clean = F.transform(paragraphs, lambda p: _bare(F.regexp_replace(F.regexp_replace(p, "^\n+|\n+$", ""), "\n", " ")))
-    first = F.get(F.filter(clean, lambda p: F.length(p) > 30), F.lit(0))
-    cut = F.when(F.length(first) > length, F.concat(F.substring(first, 1, length), F.lit("..."))).otherwise(first)
-    return F.when(c.isNotNull(), F.coalesce(cut, F.lit("")))
+    first = F.slice(F.filter(clean, lambda p: F.length(p) > 30), 1, 1)
+    cut = F.transform(first, lambda f: F.when(F.length(f) > length, F.concat(F.substring(f, 1, length), F.lit("..."))).otherwise(f))  # evaluated once
+    return F.when(c.isNotNull(), F.coalesce(F.get(cut, F.lit(0)), F.lit("")))
 
 
 def _bare(p: Column) -> Column:
