@@ -1,14 +1,17 @@
 """Near-duplicate texts by a chosen-path similarity join over word shingles.
 
-Texts become sets of hashed word sequences; equal sets form one class, and only classes are joined. In each of ``runs``
-runs a set chooses a few of its tokens by a hash all sets share, and joins the bucket of each chosen token; a bucket of
-more than ``bucket_limit`` sets is split again by tokens chosen anew within it, the others are compared by brute force.
-Two sets meet if they choose a shared token. Tokens are chosen with a probability that falls with their frequency
-(estimated by a count sketch of fixed size; a token that is counted once is in no other set), so that stock phrases
-don't fill the buckets, and that is scaled to ``picks`` tokens a set and level. A pair whose shared tokens carry the
-part s of the larger set's weight is missed by all runs with a probability of about exp(-runs * picks * s): below 0.3 %
-at s = 0.5 with the default values. Pairs in a bucket are compared by their sizes and by 128-bit sketches of their sets (a pair at
-the threshold falls below ``sketch_agree`` equal bits in about one case in a thousand), the rest by their exact sets.
+Texts become sets of hashed word sequences; equal sets form one class, and only classes are joined. In each
+of ``runs`` runs a set chooses ``picks`` of its tokens by a hash all sets share, and joins the bucket of each chosen token.
+All tokens have the same chance, so two sets of a Jaccard similarity J, which have at least the part J of the larger one
+in common, choose no shared token in any run with a probability of about exp(-runs * picks * J) at most: 0.08 % at
+J = 0.6 with the default values, whatever else is in the corpus and however often. Buckets of up to ``bucket_limit`` sets
+are compared by brute force as they stream past. Of the larger ones those are compared in blocks that are not ten times
+as large, or hold a large part of near pairs (many copies of one text: the result itself is of that size), or did not
+become half as large by the last split; the others are split again by tokens chosen anew, 2 * ``picks`` a set, which
+loses a pair in all runs with a probability of about 0.2 % at J = 0.6, at any depth. Pairs in a bucket are compared by their sizes and by
+256-bit sketches of their sets (a pair at the threshold falls below ``sketch_agree`` equal bits in about one case in a
+thousand), the rest by their exact sets. With ``rare`` tokens are chosen with a weight min(1, rare / count) instead, which
+keeps stock phrases out of the buckets, but then the bound holds only for the shared part of the weight.
 """
 
 from __future__ import annotations
@@ -20,13 +23,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from loomspark.session import materialize
 
 _WORD = re.compile(r"[^\W_]+")
 SKETCH_BITS = 20  # the count sketch has 2**20 counters: 4 MB, whatever the input
 BROADCAST_ROWS = 100_000  # rows of two numbers (under 2 MB) that may be broadcast; more are joined by a shuffle
+SKETCH = ("s0", "s1", "s2", "s3")  # a set's sketch, 64 bits each
+DENSE = 0.05  # a bucket with this part of near pairs is compared as a whole: splitting could save no more than the rest
 _A, _B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
@@ -90,7 +94,7 @@ def _flat(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def token_counts(sets: DataFrame) -> np.ndarray:
-    """Counters of the tokens over all sets, 2**SKETCH_BITS of them."""
+    """Counters of the tokens over all different sets, 2**SKETCH_BITS of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -100,16 +104,16 @@ def token_counts(sets: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(total[slot])], ["slot", "n"])
 
     # one number of at most 2**20 slots a row: a result of fixed size
-    rows = sets.select("tokens").mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    rows = sets.select("cls", "tokens").dropDuplicates(["cls"]).select("tokens").mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(1 << SKETCH_BITS, np.float32)
     out[rows.column("slot").to_numpy()] = rows.column("n").to_numpy()
     return out
 
 
 def _sketches(tokens: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-    """Two 64-bit sketches of each set: signs of sums of random signs over the tokens."""
+    """The 64-bit sketches of each set: signs of sums of random signs over the tokens."""
     out = []
-    for salt in (np.uint64(0x1234567), np.uint64(0x89ABCDE)):
+    for salt in map(np.uint64, (0x1234567, 0x89ABCDE, 0x2F0E1EB9, 0x6A09E667)):
         parts = []
         for lo in range(0, len(starts) - 1, 4096):
             at = starts[lo : lo + 4097]
@@ -120,22 +124,29 @@ def _sketches(tokens: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _chooser(ship, picks: float, rare: float, runs: int, deeper: bool):
-    """Rows (path, cls, n, s0, s1): the buckets each set joins, at the first level of every run or below ``path``."""
+def _chooser(ship, picks: float, rare: float | None, runs: int, deeper: bool):
+    """Rows (path, cls, n, s0, s1, above): the buckets each set joins, at the first level of every run or below ``path``.
+
+    ``above`` is the size of the bucket that was split.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = ship.value
+        counts = None if ship is None else ship.value
         for whole in batches:
             for lo in range(0, whole.num_rows, 8192):
                 b = whole.slice(lo, 8192)
-                if not deeper:  # copies of one set choose alike: one of them in a batch is enough
-                    b = b.take(pa.array(np.unique(b.column("cls").to_numpy(), return_index=True)[1]))
+                # copies of one set choose alike: one of them in a batch is enough
+                same = np.stack([b.column(k).to_numpy() for k in (("cls", "path") if deeper else ("cls",))], axis=1)
+                b = b.take(pa.array(np.unique(same, axis=0, return_index=True)[1]))
                 tokens, starts = _flat(b.column("tokens"))
                 size = np.diff(starts)
                 if not len(tokens):
                     continue
-                count = counts[tokens & np.uint32((1 << SKETCH_BITS) - 1)]
-                weight = np.where(count <= 1, 0, np.minimum(1, rare / np.maximum(count, 1)))
+                if counts is None:
+                    weight = np.ones(len(tokens))
+                else:
+                    count = counts[tokens & np.uint32((1 << SKETCH_BITS) - 1)]
+                    weight = np.where(count <= 1, 0, np.minimum(1, rare / np.maximum(count, 1)))
                 total = np.add.reduceat(weight, starts[:-1])
                 owner = np.repeat(np.arange(len(size)), size)
                 prob = weight * (picks / np.maximum(total, 1e-12))[owner]
@@ -150,11 +161,12 @@ def _chooser(ship, picks: float, rare: float, runs: int, deeper: bool):
                     who.append(own[taken])
                 path, who = np.concatenate(path).view(np.int64), np.concatenate(who)
                 if deeper:
-                    s = [b.column(k).to_numpy() for k in ("s0", "s1")]
+                    s = [b.column(k).to_numpy() for k in SKETCH]
                 else:
                     s = _sketches(tokens, starts)
-                cols = [path, b.column("cls").to_numpy()[who], b.column("n").to_numpy()[who], s[0][who], s[1][who]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["path", "cls", "n", "s0", "s1"])
+                size_above = b.column("above").to_numpy() if deeper else np.full(b.num_rows, np.iinfo(np.int64).max)
+                cols = [path, b.column("cls").to_numpy()[who], b.column("n").to_numpy()[who], *(x[who] for x in s), size_above[who]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["path", "cls", "n", *SKETCH, "above"])
 
     return run
 
@@ -162,31 +174,39 @@ def _chooser(ship, picks: float, rare: float, runs: int, deeper: bool):
 def _met(bucket_limit: int, least_bits: int, ratio: float):
     """Over rows sorted by path and class: the near pairs of each bucket, and the rows of buckets above the limit.
 
-    Output rows are (a, b, path null) for pairs and (a, b null, path, sketches) for rows to be split further.
+    Output rows are (a, b, path null) for pairs and (a, b null, path, sketches, above, near) for the rest; ``near`` says
+    whether a set is near the next one in its bucket. Classes are in the order of a hash, so that these are random pairs.
     """
 
-    def pairs(path: np.ndarray, cls: np.ndarray, n: np.ndarray, s0: np.ndarray, s1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def alike(at: np.ndarray, to: np.ndarray, n: np.ndarray, s: list[np.ndarray]) -> np.ndarray:
+        differ = sum(np.bitwise_count(x[at] ^ x[to]).astype(np.int16) for x in s)
+        return (differ <= 64 * len(SKETCH) - least_bits) & (np.minimum(n[at], n[to]) >= ratio * np.maximum(n[at], n[to]))
+
+    def pairs(path: np.ndarray, cls: np.ndarray, n: np.ndarray, *rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         left, right = [], []
         at, shift = np.arange(len(path) - 1), 1
-        bits0, bits1 = s0.view(np.uint64), s1.view(np.uint64)
+        bits = [x.view(np.uint64) for x in rest[:-1]]
         while len(at):
             at = at[at + shift < len(path)]
             at = at[path[at] == path[at + shift]]
             to = at + shift
-            near = (np.bitwise_count(bits0[at] ^ bits0[to]) + np.bitwise_count(bits1[at] ^ bits1[to]) <= 128 - least_bits) & (np.minimum(n[at], n[to]) >= ratio * np.maximum(n[at], n[to]))
+            near = alike(at, to, n, bits)
             left.append(cls[at[near]])
             right.append(cls[to[near]])
             shift += 1
         return (np.concatenate(left), np.concatenate(right)) if left else (cls[:0], cls[:0])
 
-    names = ["path", "cls", "n", "s0", "s1"]
+    names = ["path", "cls", "n", *SKETCH, "above"]
 
     def batch(cols: list[np.ndarray], a: np.ndarray, b: np.ndarray, large: np.ndarray) -> pa.RecordBatch:
         none = lambda k: pa.nulls(k, pa.int64())
-        rest = [pa.array(np.ascontiguousarray(c[large]), pa.int64()) for c in (cols[1], cols[0], cols[3], cols[4])]
+        at = np.flatnonzero(large)
+        to = np.minimum(at + 1, len(large) - 1)
+        near = (to > at) & (cols[0][at] == cols[0][to]) & alike(at, to, cols[2], [c.view(np.uint64) for c in cols[3:-1]])
+        rest = [pa.array(np.ascontiguousarray(c), pa.int64()) for c in (cols[1][at], cols[0][at], *(c[at] for c in cols[3:]), near.astype(np.int64))]
         out = [pa.concat_arrays([pa.array(a), rest[0]]), pa.concat_arrays([pa.array(b), none(len(rest[0]))])]
         out += [pa.concat_arrays([none(len(a)), r]) for r in rest[1:]]
-        return pa.RecordBatch.from_arrays(out, ["a", "b", "path", "s0", "s1"])
+        return pa.RecordBatch.from_arrays(out, ["a", "b", "path", *SKETCH, "above", "near"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None  # the bucket that may go on in the next batch
@@ -231,41 +251,53 @@ def _jaccard(pairs: DataFrame, shingle_sets: DataFrame) -> DataFrame:
     return pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", (both / (F.size("t_a") + F.size("t_b") - both)).alias("similarity"))
 
 
+def _in_blocks(rows: DataFrame, sets: DataFrame, bucket_limit: int, least_bits: int, ratio: float) -> DataFrame:
+    """The near pairs of whole buckets ``(path, cls, sketches, size)``: each block of a bucket against all of the bucket."""
+    rows = rows.join(sets.select("cls", "n").distinct(), "cls").dropDuplicates(["path", "cls"])
+    rows = rows.withColumn("blocks", F.ceil(F.col("size") / (10 * bucket_limit)).cast("int"))
+    left = rows.withColumn("block", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
+    right = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    differ = " + ".join(f"bit_count(l.{s} ^ r.{s})" for s in SKETCH)
+    near = F.expr(f"{differ} <= {64 * len(SKETCH) - least_bits} and least(l.n, r.n) >= {ratio} * greatest(l.n, r.n)")
+    met = left.alias("l").join(right.alias("r"), (F.col("l.path") == F.col("r.path")) & (F.col("l.block") == F.col("r.block")) & (F.col("l.cls") < F.col("r.cls")) & near)
+    return met.select(F.col("l.cls").alias("a"), F.col("r.cls").alias("b"))
+
+
 def class_pairs(
-    sets: DataFrame, threshold: float, runs: int = 6, picks: float = 2.0, rare: float = 20.0, bucket_limit: int = 200, max_depth: int = 8, sketch_agree: int | None = None
+    sets: DataFrame, threshold: float, runs: int = 6, picks: float = 2.0, rare: float | None = None, bucket_limit: int = 200, max_depth: int = 8, sketch_agree: int | None = None
 ) -> DataFrame:
     """``(a, b, similarity)``: the pairs of different classes of ``sets`` with a Jaccard similarity of the threshold or more."""
     spark = sets.sparkSession
-    ship = spark.sparkContext.broadcast(token_counts(sets))  # 4 MB
+    ship = None if rare is None else spark.sparkContext.broadcast(token_counts(sets))  # 4 MB
     if sketch_agree is None:
         cosine = 2 * threshold / (1 + threshold)
         agree = 1 - np.arccos(cosine) / np.pi
-        sketch_agree = int(128 * agree - 3.1 * np.sqrt(128 * agree * (1 - agree)))
-    schema = "path bigint, cls bigint, n int, s0 bigint, s1 bigint"
+        bits = 64 * len(SKETCH)
+        sketch_agree = int(bits * agree - 3.1 * np.sqrt(bits * agree * (1 - agree)))
+    sketch = ", ".join(f"{s} bigint" for s in SKETCH)
+    schema = f"path bigint, cls bigint, n int, {sketch}, above bigint"
     level = sets.select("cls", "n", "tokens").mapInArrow(_chooser(ship, picks, rare, runs, False), schema)
     met = _met(bucket_limit, sketch_agree, threshold - 1e-9)
     levels = []
     for depth in range(1, max_depth + 1):
         # one shuffle brings buckets together; a bucket is compared while the sorted rows stream past
-        passed = level.repartition("path").sortWithinPartitions("path", "cls").mapInArrow(met, "a bigint, b bigint, path bigint, s0 bigint, s1 bigint")
+        passed = level.repartition("path").sortWithinPartitions("path", "cls").mapInArrow(met, f"a bigint, b bigint, path bigint, {sketch}, above bigint, near bigint")
         passed = materialize(passed, f"chosen-path-{depth}")
         levels.append(passed.filter("b is not null").select("a", "b"))
-        large = passed.filter("b is null").select("path", F.col("a").alias("cls"), "s0", "s1")
-        n_large = large.count()
-        if not n_large:
+        large = passed.filter("b is null").select("path", F.col("a").alias("cls"), *SKETCH, "above", "near")
+        if large.isEmpty():
             break
-        if depth == max_depth:  # what no token splits is compared in blocks, left block against all blocks of the bucket
-            rows = large.join(sets.select("cls", "n").distinct(), "cls").distinct()
-            blocks = F.ceil(F.count("*").over(Window.partitionBy("path")) / bucket_limit).cast("int")
-            rows = rows.withColumn("blocks", blocks)
-            left = rows.withColumn("block", F.pmod(F.xxhash64("cls"), "blocks").cast("int"))
-            right = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            near = F.expr(f"bit_count(l.s0 ^ r.s0) + bit_count(l.s1 ^ r.s1) <= {128 - sketch_agree} and least(l.n, r.n) >= {threshold - 1e-9} * greatest(l.n, r.n)")
-            rest = left.alias("l").join(right.alias("r"), (F.col("l.path") == F.col("r.path")) & (F.col("l.block") == F.col("r.block")) & (F.col("l.cls") < F.col("r.cls")) & near)
-            levels.append(rest.select(F.col("l.cls").alias("a"), F.col("r.cls").alias("b")))
+        size = F.count("*")
+        whole = F.lit(depth == max_depth) | (size <= 10 * bucket_limit) | (F.sum("near") >= DENSE * size) | (2 * size > F.first("above"))
+        sizes = materialize(large.groupBy("path").agg(size.alias("size"), whole.alias("whole")), f"bucket-sizes-{depth}")
+        rows = large.drop("above", "near").join(sizes, "path")
+        levels.append(_in_blocks(rows.filter("whole"), sets, bucket_limit, sketch_agree, threshold - 1e-9))
+        keys = rows.filter("not whole").select("path", "cls", *SKETCH, F.col("size").alias("above"))
+        n_keys = keys.count()
+        if not n_keys:
             break
-        keys = F.broadcast(large) if n_large <= BROADCAST_ROWS else large
-        level = sets.select("cls", "n", "tokens").join(keys, "cls").mapInArrow(_chooser(ship, picks, rare, runs, True), schema)
+        keys = F.broadcast(keys) if n_keys <= BROADCAST_ROWS else keys
+        level = sets.select("cls", "n", "tokens").join(keys, "cls").mapInArrow(_chooser(ship, 2 * picks, rare, runs, True), schema)
     candidates = levels[0]
     for x in levels[1:]:
         candidates = candidates.unionByName(x)

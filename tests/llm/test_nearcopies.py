@@ -63,3 +63,29 @@ def test_groups_and_hot_copies(spark):
 def test_empty(spark):
     members, pairs = nearcopies.near_copies(spark.createDataFrame([], SCHEMA), "chunk_id", "chunk_text")
     assert members.count() == 0 and pairs.count() == 0
+
+
+def test_hot_group_with_own_edits(spark):
+    rng = random.Random(11)
+    base = [f"b{i}" for i in range(60)]
+    texts = {}
+    for i in range(1200):  # every copy has three words of its own: the shared tokens are frequent, the own ones rare
+        copy = list(base)
+        for at in rng.sample(range(60), 3):
+            copy[at] = f"own{i}at{at}"
+        texts[f"t{i:04d}"] = " ".join(copy)
+    rows = list(texts.items()) + list(texts.items())[::2]  # some delivered twice, so own edits are counted twice
+    d = spark.createDataFrame(rows, SCHEMA)
+    got = {tuple(r) for r in nearcopies.copy_pairs(*nearcopies.near_copies(d, "chunk_id", "chunk_text", 0.6, 3, 25, bucket_limit=50), "chunk_id").collect()}
+    held = {}
+    for i, t in texts.items():
+        w = t.split()
+        held[i] = sum(1 << k for k in range(58) if all(w[k + j] == base[k + j] for j in range(3)))
+    ids = sorted(held)
+    want = set()
+    for x, a in enumerate(ids):
+        for b in ids[x + 1 :]:
+            common = (held[a] & held[b]).bit_count()
+            if common / (116 - common) >= 0.6:
+                want.add((a, b))
+    assert len(want) > 100_000 and got <= want and len(got) >= 0.995 * len(want)
