@@ -8,6 +8,9 @@ cosine of s scores about s times the cosine of x and its code, with a deviation
 that score above that less three deviations are ranked again by exact cosines in double precision.
 
 Cells are split into blocks of bounded expected size for vectors and for queries; each pair of blocks is one group.
+
+Without a least similarity neighbours may lie in any cell, and codes tell them apart too badly to leave any vector out:
+then every block of queries goes past all vectors (``all_nearest``), which is exact and grows with the square of the rows.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from loomspark.llm.sampling import bounded_sample
+from loomspark.session import materialize
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -173,12 +177,96 @@ def exact_top(q_ids: np.ndarray, q: np.ndarray, d_ids: np.ndarray, d: np.ndarray
     return pd.DataFrame({"_id": q_ids[i], "neighbor": d_ids[j], "similarity": cos})
 
 
+def all_nearest(usable: DataFrame, dim: int, n_rows: int, k: int, block_rows: int = 8192, stride: int = 4096) -> DataFrame:
+    """``(_id, neighbor, similarity, rank)``: the k nearest of all vectors ``(_id, _v)`` for each of them, exactly.
+
+    The vectors are written once to the shared folder in the order of their ids; each task takes one file as its queries
+    and reads all files past them, so neither shuffle nor memory grows faster than the rows.
+    """
+    from pyarrow import fs
+    from pyarrow import parquet as pq
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for b in batches:
+            ids, keep = b.column("_id").to_pylist(), []
+            for i, x in enumerate(ids):
+                if x != last:  # sorted: an id delivered twice counts once
+                    keep.append(i)
+                last = x
+            if keep:
+                b = b.take(pa.array(keep))
+                raw = np.ascontiguousarray(b.column("_v").flatten().to_numpy().astype(np.float32))
+                vec = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * dim), len(keep), [None, pa.py_buffer(raw)]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column("_id"), vec], ["_id", "vec"])
+
+    parts = max(1, -(-n_rows // block_rows))
+    packed = usable.select("_id", "_v").repartitionByRange(parts, "_id").sortWithinPartitions("_id").mapInArrow(pack, "_id string, vec binary")
+    files = sorted(materialize(packed, "all-vectors").inputFiles())
+
+    def opened(name: str) -> pq.ParquetFile:
+        where, path = fs.FileSystem.from_uri(name)
+        return pq.ParquetFile(where.open_input_file(path))
+
+    def vectors_of(b: pa.RecordBatch | pa.Table) -> np.ndarray:
+        return unit(np.frombuffer(b"".join(b.column("vec").to_pylist()), np.float32).reshape(-1, dim).astype(np.float64))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = [opened(f).metadata.num_rows for f in files]
+        for task in (int(t) for b in batches for t in b.column("id").to_pylist()):
+            mine = opened(files[task]).read()
+            q64 = vectors_of(mine)
+            q32, n, base = q64.astype(np.float32), len(q64), sum(sizes[:task])
+            # the best so far; a vector's place in the order of ids stands for its id and breaks ties
+            cos, place = np.full((n, k), -np.inf), np.full((n, k), np.iinfo(np.int64).max)
+            at = 0
+            for name in files:
+                for b in opened(name).iter_batches(stride):
+                    d64 = vectors_of(b)
+                    d32 = d64.astype(np.float32)
+                    for lo in range(0, n, 1024):
+                        e = d32 @ q32[lo : lo + 1024].T
+                        bound = cos[lo : lo + 1024, -1]
+                        if np.isinf(bound).any() and len(e) > k + 1:  # the block's own k + 1 best, as a query may be among them
+                            bound = np.maximum(bound, np.partition(e, len(e) - k - 1, axis=0)[len(e) - k - 1])
+                        hit = np.flatnonzero(e >= (bound - 3e-6).astype(np.float32))
+                        j, i = hit // e.shape[1], hit % e.shape[1] + lo
+                        other = j + at != i + base
+                        j, i = j[other], i[other]
+                        if not len(j):
+                            continue
+                        new = np.concatenate([np.einsum("ij,ij->i", d64[j[x : x + 50_000]], q64[i[x : x + 50_000]]) for x in range(0, len(j), 50_000)])
+                        who = np.unique(i)
+                        i = np.concatenate([np.repeat(who, k), i])
+                        c = np.concatenate([cos[who].ravel(), np.round(new, 6)])
+                        p = np.concatenate([place[who].ravel(), j + at])
+                        order = np.lexsort((p, -c, i))
+                        i, c, p = i[order], c[order], p[order]
+                        best = np.arange(len(i)) - np.searchsorted(i, i) < k
+                        cos[who], place[who] = c[best].reshape(-1, k), p[best].reshape(-1, k)
+                    at += len(d64)
+            row, col = np.nonzero(np.isfinite(cos))
+            place, names, at = place[row, col], np.empty(len(row), object), 0
+            for name, size in zip(files, sizes, strict=True):
+                here = np.flatnonzero((place >= at) & (place < at + size))
+                if len(here):
+                    names[here] = opened(name).read(["_id"]).column("_id").to_numpy()[place[here] - at]
+                at += size
+            own = mine.column("_id").to_numpy()
+            for lo in range(0, len(row), 50_000):
+                x = slice(lo, lo + 50_000)
+                yield pa.RecordBatch.from_arrays([pa.array(own[row[x]], pa.string()), pa.array(names[x], pa.string()), pa.array(cos[row[x], col[x]]), pa.array((col[x] + 1).astype(np.int32))], ["_id", "neighbor", "similarity", "rank"])
+
+    tasks = usable.sparkSession.range(0, len(files), 1, max(1, len(files)))
+    return tasks.mapInArrow(search, "_id string, neighbor string, similarity double, rank int")
+
+
 def nearest(
     vectors: DataFrame,
     id_col: str = "chunk_id",
     vec_col: str = "embedding",
     k: int = 10,
-    min_similarity: float = 0.8,
+    min_similarity: float | None = 0.8,
     probes: int = 3,
     probe_margin: float = 0.06,
     sample_rows: int = 6144,
@@ -189,7 +277,7 @@ def nearest(
 
     A vector is usable if it isn't null, has the most common length, only finite numbers and not only zeros. Ids
     delivered twice count once, an id isn't its own neighbour, and of equal similarities the smaller id comes first.
-    Neighbours below ``min_similarity`` are left out. An empty table gives an empty result. The codebooks are fitted on
+    Neighbours below ``min_similarity`` are left out; if it is None every vector gets its k neighbours. An empty table gives an empty result. The codebooks are fitted on
     ``sample_rows`` vectors; all are indexed and all are queries. The number of cells grows with the root of the rows.
     """
     spark = vectors.sparkSession
@@ -213,6 +301,12 @@ def nearest(
         extra = late.select("_id", F.explode(F.slice("ids", 1, k)).alias("neighbor"), F.lit(1.0).alias("similarity"))
         usable = usable.join(late.select("_id").distinct(), "_id", "left_anti")
 
+    if min_similarity is None:
+        ranked = all_nearest(usable, dim, n_rows, k)
+        if extra is not None:
+            ranked = ranked.unionByName(extra.withColumn("rank", F.row_number().over(Window.partitionBy("_id").orderBy("neighbor"))))
+        return ranked.withColumnRenamed("_id", id_col)
+
     sample = bounded_sample(usable, "_id", sample_rows)
     if not sample:
         return spark.createDataFrame([], out_schema + ", rank int").withColumnRenamed("_id", id_col)

@@ -70,12 +70,12 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ten most similar vectors of every vector, as far as they have a cosine of 0.8 or more."""
-    return neighbors.nearest(table(spark, sf_dir, "chunk_vectors"))
+    """The ten most similar vectors of every usable vector, however similar they are."""
+    return neighbors.nearest(table(spark, sf_dir, "chunk_vectors"), min_similarity=None)
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neighbors.similar_pairs(neighbors.nearest(table(spark, sf_dir, "chunk_vectors")))
+    return neighbors.similar_pairs(neighbors.nearest(table(spark, sf_dir, "chunk_vectors"), min_similarity=0.8))
 
 
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

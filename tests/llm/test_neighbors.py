@@ -51,3 +51,20 @@ def test_blocks_give_the_same(spark):
 def test_empty(spark):
     assert neighbors.nearest(spark.createDataFrame([], SCHEMA)).count() == 0
     assert neighbors.nearest(spark.createDataFrame([("a", None)], SCHEMA)).count() == 0
+
+
+def test_every_vector_gets_k_neighbours(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 24)).astype(np.float32)  # nearly all neighbours are below 0.8
+    x[300:340] = 2 * x[:40]  # ties
+    ids = [f"v{i:04d}" for i in range(400)]
+    rows = [(i, [float(f) for f in v]) for i, v in zip(ids, x, strict=True)]
+    d = spark.createDataFrame(rows + [("null", None), ("zero", [0.0] * 24), rows[7], rows[399]], SCHEMA)
+    got = neighbors.nearest(d, k=10, min_similarity=None).collect()
+    assert len(got) == 4000 and sorted({r["rank"] for r in got}) == list(range(1, 11))
+    assert {(r.chunk_id, r.neighbor) for r in got} == brute(ids, x.astype(np.float64), 10, -1)
+    usable = spark.createDataFrame(rows, "_id string, _v array<float>")
+    blocks = neighbors.all_nearest(usable, 24, 400, 10, block_rows=60, stride=17).collect()
+    assert sorted(map(tuple, blocks)) == sorted(map(tuple, got))
+    assert neighbors.nearest(d.limit(0), min_similarity=None).count() == 0
+    assert neighbors.nearest(spark.createDataFrame(rows[:3], SCHEMA), min_similarity=None).count() == 6
