@@ -289,24 +289,30 @@ def nearest(
     dim, n_rows = dims[0].d, dims[0]["count"]
     usable = base.filter((F.size("_v") == dim) & F.exists("_v", lambda v: v != 0) & F.forall("_v", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))))
 
-    # of many equal vectors only the first k + 1 ids can be neighbours, and the others have just the first k
+    # of many equal vectors only the first k + 1 ids can be neighbours, and the others have those of the (k + 1)-th id,
+    # which may be ids of vectors that aren't equal but whose cosine with them is 1 as well
     equal = F.xxhash64("_v").alias("same")
     hot = usable.groupBy(equal).count().filter(F.col("count") > k + 1).select("same")
-    extra = None
+    late = None
     if not hot.isEmpty():
         rows = usable.withColumn("same", F.xxhash64("_v")).join(hot, "same").select("same", "_id").distinct()
         firsts = rows.withColumn("rn", F.row_number().over(Window.partitionBy("same").orderBy("_id"))).filter(F.col("rn") <= k + 1)
         lists = firsts.groupBy("same").agg(F.array_sort(F.collect_list("_id")).alias("ids"))
-        late = rows.join(lists, "same").filter(~F.array_contains("ids", F.col("_id")))
-        extra = late.select("_id", F.explode(F.slice("ids", 1, k)).alias("neighbor"), F.lit(1.0).alias("similarity"))
+        late = rows.join(lists, "same").filter(~F.array_contains("ids", F.col("_id"))).select("_id", F.element_at("ids", k + 1).alias("like"))
         usable = usable.join(late.select("_id").distinct(), "_id", "left_anti")
 
-    if min_similarity is None:
-        ranked = all_nearest(usable, dim, n_rows, k)
-        if extra is not None:
-            ranked = ranked.unionByName(extra.withColumn("rank", F.row_number().over(Window.partitionBy("_id").orderBy("neighbor"))))
+    def whole(ranked: DataFrame) -> DataFrame:
+        if late is not None:
+            ranked = materialize(ranked.select("_id", "neighbor", "similarity", "rank"), "ranked")
+            found = F.collect_list(F.struct("neighbor", "similarity", "rank")).alias("found")
+            likes = late.select("like").distinct()
+            lists = ranked.join(likes, ranked["_id"] == likes["like"]).groupBy("like").agg(found)
+            ranked = ranked.unionByName(late.join(lists, "like").select("_id", F.inline("found")))
         return ranked.withColumnRenamed("_id", id_col)
 
+    if min_similarity is None:
+        return whole(all_nearest(usable, dim, n_rows, k))
+
     sample = bounded_sample(usable, "_id", sample_rows)
     if not sample:
         return spark.createDataFrame([], out_schema + ", rank int").withColumnRenamed("_id", id_col)
@@ -382,11 +388,9 @@ def nearest(
 
     placed = usable.mapInArrow(place, "cell int, db int, qb int, role tinyint, _id string, vec binary, code binary, inv float")
     found = placed.groupBy("cell", "db", "qb").applyInPandas(search, out_schema)
-    if extra is not None:
-        found = found.unionByName(extra)
     best = Window.partitionBy("_id").orderBy(F.desc("similarity"), "neighbor")
     ranked = found.withColumn("rank", F.dense_rank().over(best)).filter(F.col("rank") <= k)  # a pair that came twice has one rank
-    return ranked.dropDuplicates(["_id", "neighbor"]).withColumnRenamed("_id", id_col)
+    return whole(ranked.dropDuplicates(["_id", "neighbor"]))
 
 
 def _visits(model: Quantizer, v: np.ndarray, probes: int, margin: float) -> tuple[np.ndarray, np.ndarray]:

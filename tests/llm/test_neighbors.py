@@ -68,3 +68,13 @@ def test_every_vector_gets_k_neighbours(spark):
     assert sorted(map(tuple, blocks)) == sorted(map(tuple, got))
     assert neighbors.nearest(d.limit(0), min_similarity=None).count() == 0
     assert neighbors.nearest(spark.createDataFrame(rows[:3], SCHEMA), min_similarity=None).count() == 6
+
+
+def test_equal_vectors_and_scaled_copies(spark):
+    v = [1.0, 2.0, 3.0, 4.0]
+    rows = [(f"h{i:03d}", v) for i in range(30)] + [("a000", [3 * f for f in v]), ("h001x", [0.7 * f for f in v]), ("other", [-1.0, 0.0, 0.0, 0.0])]
+    want = brute([i for i, _ in rows], np.array([x for _, x in rows]), 3, 0.8)
+    d = spark.createDataFrame(rows, SCHEMA)
+    assert {(r.chunk_id, r.neighbor) for r in neighbors.nearest(d, k=3).collect()} == want
+    every = {(r.chunk_id, r.neighbor) for r in neighbors.nearest(d, k=3, min_similarity=None).collect()}
+    assert {p for p in every if p[0] != "other"} == want and len([p for p in every if p[0] == "other"]) == 3
