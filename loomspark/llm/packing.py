@@ -106,6 +106,9 @@ def _best_fit(sizes: np.ndarray, capacity: int) -> np.ndarray:
     return where
 
 
+MAX_TARGETS = 1000  # they become literals of one plan
+
+
 def pack(
     docs: DataFrame,
     targets: DataFrame,
@@ -120,7 +123,7 @@ def pack(
     """``(target_id, doc_id, piece, container_id, n_tokens)``: the containers of every text for every target.
 
     ``targets`` has ``target_id, tokenizer_name, capacity_tokens`` and is a small table (it is read to the driver, one
-    row per container kind; rows without a tokenizer or a positive capacity give nothing, repeated rows count once).
+    row per container kind, and more than ``MAX_TARGETS`` are an error; rows without a tokenizer or a positive capacity give nothing, repeated rows count once).
     ``shares`` are target token proportions by source, relative to each other; by default those of the corpus, for
     which all queues end in the same window. A source without an entry gets its corpus share. Null sources form a
     queue of their own. Null and empty texts take no container. ``n_tokens`` never exceeds the capacity and an item
@@ -128,7 +131,9 @@ def pack(
     """
     spark = docs.sparkSession
     kinds = targets.filter("tokenizer_name is not null and capacity_tokens > 0 and target_id is not null").select("target_id", "tokenizer_name", "capacity_tokens").distinct()
-    rows = kinds.orderBy("target_id").limit(1000).collect()
+    rows = kinds.orderBy("target_id").limit(MAX_TARGETS + 1).collect()
+    if len(rows) > MAX_TARGETS:
+        raise ValueError(f"more than {MAX_TARGETS} different pack targets; pack them in several calls")
     tokenizers = sorted({r.tokenizer_name for r in rows})
     id_kind = docs.schema[id_col].dataType.simpleString()
     out = f"target_id int, _id {id_kind}, piece bigint, container_id string, n_tokens bigint"

@@ -48,3 +48,14 @@ def test_empty(spark):
     t = spark.createDataFrame([(1, "byte_bpe_50k", 100)], TARGETS)
     assert packing.pack(spark.createDataFrame([], DOCS), t).count() == 0
     assert packing.pack(spark.createDataFrame([(1, "x", "a")], DOCS), t.limit(0)).count() == 0
+
+
+def test_too_many_targets_are_an_error(spark):
+    d = spark.createDataFrame([(1, "alpha", "a")], DOCS)
+    t = spark.range(1001).selectExpr("cast(id as int) as target_id", "'byte_bpe_50k' as tokenizer_name", "10 as capacity_tokens")
+    try:
+        packing.pack(d, t)
+    except ValueError as e:
+        assert "pack targets" in str(e)
+    else:
+        raise AssertionError("targets were dropped")
