@@ -41,6 +41,7 @@ _WORD = re.compile(r"[^\W\d_]+")
 _CODE = re.compile(r"```.*?(?:```|\Z)|`[^`]*`", re.S)
 _BREAK = re.compile(r"(?<=[^\W\d_])[-­‐¬]\s*\n\s*")
 STRUCTURE = ["header", "list", "blockquote", "document", "paragraph"]
+MAX_AREAS = 1000  # each is a link of the chain; more are an error
 
 
 def area_code(label: Column, areas: list[str]) -> Column:
@@ -168,8 +169,8 @@ def side_features(domains: list[str | None], kinds: list[str | None], areas: lis
     return out
 
 
-def fit(texts: list[str], domains: list[str | None], kinds: list[str | None], people: list[list[str]], areas: list[str], max_terms: int = 16_000) -> Chain:
-    """Fit the chain; ``people`` has the labels people gave the file of each text."""
+def fit(texts: list[str], domains: list[str | None], kinds: list[str | None], people: list[dict[str, int]], areas: list[str], max_terms: int = 16_000) -> Chain:
+    """Fit the chain on the ``max_terms`` most telling terms; ``people`` has how often people gave the file of each text an area."""
     k = len(areas)
     found = [terms(t) for t in texts]
     count = Counter(t for f in found for t in f)
@@ -177,9 +178,9 @@ def fit(texts: list[str], domains: list[str | None], kinds: list[str | None], pe
     kept = [t for t, c in count.items() if 3 <= c <= 0.15 * n]
     noisy = np.zeros((n, k), np.float32)
     for i, (d, p) in enumerate(zip(domains, people, strict=True)):
-        for a in p:
+        for a, times in p.items():
             if a in areas:
-                noisy[i, areas.index(a)] += 2.0
+                noisy[i, areas.index(a)] += 2.0 * times
         if d in areas:
             noisy[i, areas.index(d)] += 1.0
     labelled = noisy.sum(1) > 0
@@ -234,23 +235,29 @@ def fit(texts: list[str], domains: list[str | None], kinds: list[str | None], pe
 
 def fit_on(chunks: DataFrame, labels: DataFrame, areas: list[str], sample_rows: int) -> Chain:
     """Fit on at most ``sample_rows`` prose chunks for each label language, with people's labels of their files."""
-    people = labels.filter(F.col("area").isin(areas)).groupBy("source_file").agg(F.slice(F.array_sort(F.collect_list("area")), 1, 50).alias("people"))
+    # counted by file and area first, so that no row grows with the number of labels of a file
+    counts = labels.filter(F.col("area").isin(areas) & F.col("source_file").isNotNull()).groupBy("source_file", "area").agg(F.count("*").alias("n"))
+    people = counts.groupBy("source_file").agg(F.map_from_entries(F.collect_list(F.struct("area", "n"))).alias("people"))
     lang = normalised_label(F.col("language"))
     base = chunks.select("chunk_id", "source_file", F.col("chunk_text").alias("t"), area_code(F.col("domain"), areas).alias("d"), "chunk_type", F.when(lang.isin("en", "ko", "de", "fr", "es", "pt", "nl"), lang).otherwise("").alias("l"))
     base = base.join(people, "source_file", "left").filter(F.col("d").isNotNull() | F.col("people").isNotNull())
     rows = bounded_sample(base.select("chunk_id", "t", "d", "chunk_type", "l", "people"), "chunk_id", sample_rows, by="l")
-    return fit([r.t for r in rows], [r.d for r in rows], [r.chunk_type for r in rows], [r.people or [] for r in rows], areas)
+    return fit([r.t for r in rows], [r.d for r in rows], [r.chunk_type for r in rows], [r.people or {} for r in rows], areas)
 
 
 def chunk_subjects(chunks: DataFrame, labels: DataFrame, subject_areas: DataFrame, sample_rows: int = 2000, beam: int = 6) -> DataFrame:
     """``(chunk_id, source_file, area, probability, areas)`` of every chunk of ``chunks`` (prose only).
 
     ``area`` is the main subject, the one with the highest marginal; ``areas`` the likeliest combination. Rows
-    delivered twice give equal rows. Without areas or chunks the result is empty; without labels the areas are guesses
+    delivered twice give equal rows. The chain is fitted on at most ``sample_rows`` chunks a label language; more than
+    ``MAX_AREAS`` areas are an error. Without areas or chunks the result is empty; without labels the areas are guesses
     of equal probability, ties going to the first code.
     """
     spark = chunks.sparkSession
-    areas = sorted(r.area for r in subject_areas.select("area").filter("area is not null").distinct().limit(1000).collect())
+    found = subject_areas.select("area").filter("area is not null").distinct().limit(MAX_AREAS + 1).collect()
+    if len(found) > MAX_AREAS:
+        raise ValueError(f"more than {MAX_AREAS} subject areas")
+    areas = sorted(r.area for r in found)
     schema = "chunk_id string, source_file string, area string, probability double, areas array<string>"
     if not areas:
         return spark.createDataFrame([], schema)
