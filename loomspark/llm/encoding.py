@@ -63,8 +63,24 @@ def _encoder(keys: list[str], text_col: str, name: str, path: str | None):
     return run
 
 
+def _windows(piece: int, overlap: int):
+    """The windows of each text, cut in one pass over it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                text, own = b.column("_text")[i].as_py(), b.column("_id").slice(i, 1)
+                starts = range(0, len(text), piece)
+                for lo in range(0, len(starts), 512):  # bounds the batch of a very long text
+                    part = starts[lo : lo + 512]
+                    ids = own.take(pa.array([0] * len(part)))
+                    yield pa.RecordBatch.from_arrays([ids, pa.array([s // piece for s in part], pa.int32()), pa.array([text[s : s + piece + overlap] for s in part], pa.string())], ["_id", "win", "part"])
+
+    return run
+
+
 def _boundaries(pattern: str, piece: int, overlap: int):
-    """Pre-token boundaries of each window in the overlap with the window before (head) and after (tail)."""
+    """Pre-token boundaries of each window in the overlap with the window before (head) and after (tail), from its own start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
@@ -75,10 +91,10 @@ def _boundaries(pattern: str, piece: int, overlap: int):
             for k, text in zip(b.column("win").to_pylist(), b.column("part").to_pylist(), strict=True):
                 # a cut after white space could change how the white space before it is split
                 ends = [m.end() for m in pat.finditer(text) if m.end() < len(text) and not text[m.end() - 1].isspace()]
-                heads.append([e + k * piece for e in ends if e <= overlap] if k else [])
-                tails.append([e + k * piece for e in ends if e >= piece])
-            cols = [b.column("_id"), b.column("win"), pa.array(heads, pa.list_(pa.int32())), pa.array(tails, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(cols, ["_id", "win", "head", "tail"])
+                heads.append([e for e in ends if e <= overlap] if k else [])
+                tails.append([e - piece for e in ends if e >= piece])
+            cols = [*(b.column(c) for c in ("_id", "win", "part")), pa.array(heads, pa.list_(pa.int32())), pa.array(tails, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(cols, ["_id", "win", "part", "head", "tail"])
 
     return run
 
@@ -102,23 +118,18 @@ def encode_corpus(
     is_long = F.coalesce(F.length("_text") > piece_chars, F.lit(False))
     short = base.filter(~is_long).mapInArrow(_encoder(["_id"], "_text", tokenizer, path), f"_id {kind}, ids array<int>")
 
-    long = base.filter(is_long)
-    windows = long.select(
-        "_id", "_text", F.explode(F.sequence(F.lit(0), F.floor((F.length("_text") - 1) / piece_chars).cast("int"))).alias("win")
-    ).select("_id", "win", F.expr(f"substring(_text, win * {piece_chars} + 1, {piece_chars + overlap})").alias("part"))
-    marks = windows.mapInArrow(_boundaries(pretoken_pattern(), piece_chars, overlap), f"_id {kind}, win int, head array<int>, tail array<int>")
-    before = F.lag("tail").over(Window.partitionBy("_id").orderBy("win"))
-    cuts = (
-        marks.withColumn("cut", F.array_min(F.array_intersect("head", before)))
-        .groupBy("_id")
-        .agg(F.array_sort(F.collect_set("cut")).alias("cuts"))
-    )
-    ends = F.concat("cuts", F.array(F.length("_text")))
-    pieces = (
-        long.join(cuts, "_id")
-        .select("_id", "_text", F.posexplode(F.arrays_zip(F.concat(F.array(F.lit(0)), "cuts").alias("a"), ends.alias("b"))).alias("piece", "r"))
-        .select("_id", "piece", F.expr("substring(_text, r.a + 1, r.b - r.a)").alias("_text"))
-    )
+    windows = base.filter(is_long).mapInArrow(_windows(piece_chars, overlap), f"_id {kind}, win int, part string")
+    windows = windows.repartition("_id", "win")  # the windows of one long text go to many tasks
+    marks = windows.mapInArrow(_boundaries(pretoken_pattern(), piece_chars, overlap), f"_id {kind}, win int, part string, head array<int>, tail array<int>")
+    by_text = Window.partitionBy("_id").orderBy("win")
+    cut = marks.withColumn("cut", F.array_min(F.array_intersect("head", F.lag("tail").over(by_text))))
+    # a window ends where the next one was cut, or goes on into it where no cut was found
+    ranged = cut.select("_id", "win", "cut", F.lead("cut").over(by_text).alias("next"), F.lead("win").over(by_text).isNull().alias("last"), "part")
+    first = F.coalesce("cut", F.lit(0))
+    until = F.when(F.col("last"), F.length("part")).otherwise(F.coalesce("next", F.lit(0)) + piece_chars)
+    own = ranged.select("_id", "win", F.sum(F.col("cut").isNotNull().cast("int")).over(by_text).cast("int").alias("piece"), F.expr("part").substr(first + 1, until - first).alias("own"))
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("win", "own"))), lambda r: r["own"]), "")
+    pieces = own.groupBy("_id", "piece").agg(joined.alias("_text"))
     coded = pieces.mapInArrow(_encoder(["_id", "piece"], "_text", tokenizer, path), f"_id {kind}, piece int, ids array<int>")
     whole = coded.groupBy("_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("piece", "ids"))), lambda r: r["ids"])).alias("ids"))
     return short.unionByName(whole).select(F.col("_id").alias(id_col), "ids")
