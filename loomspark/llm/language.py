@@ -73,7 +73,7 @@ def pieces(text: str) -> list[str]:
         block = _MARK.sub("", block)
         if "(" in block or "[" in block:
             block = _ASIDE.sub(" ", block)
-        found += [s for s in _STOP.split(" ".join(block.split())) if len(s) >= 8]
+        found += [s for s in _STOP.split(" ".join(block.split())) if _WORD.search(s)]
     return found
 
 
@@ -122,20 +122,29 @@ class KernelModel:
 
     def __init__(self, grams: np.ndarray, weights: np.ndarray, beta: float):
         self.grams, self.weights, self.beta = grams, np.asarray(weights, np.float32), beta
-        self._table = None
+        self._table = self._more = None
 
     def __getstate__(self):
-        return {"grams": self.grams, "weights": self.weights, "beta": self.beta, "_table": None}
+        return {"grams": self.grams, "weights": self.weights, "beta": self.beta, "_table": None, "_more": None}
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        if self._table is None:  # hash bits -> gram number; the full hash is compared
+        if self._table is None:  # hash bits -> first gram with them; grams are in the order of these bits, the full hash is compared
+            slot = (self.grams & np.uint64((1 << self.BITS) - 1)).astype(np.int64)
+            order = np.argsort(slot, kind="stable")
+            self.grams, self.weights, slot = self.grams[order], self.weights[order], slot[order]
             self._table = np.full(1 << self.BITS, -1, np.int32)
-            self._table[(self.grams & np.uint64((1 << self.BITS) - 1)).astype(np.int64)] = np.arange(len(self.grams), dtype=np.int32)
+            self._table[slot[::-1]] = np.arange(len(slot), dtype=np.int32)[::-1]
+            self._more = np.concatenate([slot[1:] == slot[:-1], [False]])
         who, key, size = presence(texts)
         at = self._table[(key & np.uint64((1 << self.BITS) - 1)).astype(np.int64)]
         hit = at >= 0
         who, key, at = who[hit], key[hit], at[hit]
         same = self.grams[at] == key
+        left = np.flatnonzero(~same & self._more[at])
+        while len(left):  # the next gram with the same bits
+            at[left] += 1
+            same[left] = self.grams[at[left]] == key[left]
+            left = left[~same[left] & self._more[at[left]]]
         who, at = who[same], at[same]
         out = np.zeros((len(texts), self.weights.shape[1]))
         if len(who):
@@ -176,12 +185,11 @@ def _fit_once(texts: list[str], labels: np.ndarray, landmarks: int, ridge: float
     alpha = root @ beta / np.sqrt(np.maximum(marks[2], 1))[:, None]
     grams, inverse = np.unique(marks[1], return_inverse=True)
     folded = np.stack([np.bincount(inverse, weights=alpha[marks[0], c], minlength=len(grams)) for c in range(n_lang)], axis=1)
-    slots, first = np.unique(grams & np.uint64((1 << KernelModel.BITS) - 1), return_index=True)
-    return KernelModel(grams[first], folded[first], 1.0)
+    return KernelModel(grams, folded, 1.0)
 
 
 def fit(texts: list[str], labels: list[str], landmarks: int = 350, ridge: float = 0.1, per_language: int = 500) -> KernelModel:
-    """Fit on whole sentences of texts with (partly wrong) labels; languages without a text keep a score of -1."""
+    """Fit on whole sentences of texts with (partly wrong) labels, at most ``per_language`` for each label; languages without a text keep a score of -1."""
     sent, lab = [], []
     count = dict.fromkeys(LANGUAGES, 0)
     for t, l in zip(texts, labels, strict=True):
@@ -212,15 +220,31 @@ def fit(texts: list[str], labels: list[str], landmarks: int = 350, ridge: float
 def label_sentences(scores: np.ndarray, doubt: float = 0.25) -> list[int]:
     """The language number of each sentence; where the two best scores are close, the better of them in the whole text."""
     order = np.argsort(-scores, axis=1)
-    return _settled([(r, int(a), int(b), bool(r[a] - r[b] < doubt)) for r, (a, b) in zip(scores, order[:, :2], strict=True)])
+    return _settled([(r, int(a), int(b), bool(r[a] - r[b] < doubt)) for r, (a, b) in zip(scores, order[:, :2], strict=True)], [SHORT] * len(scores))
 
 
-def _settled(rated: list[tuple]) -> list[int]:
-    """``rated`` has (scores, best, second, close) of each sentence of a text."""
-    if not any(r[3] for r in rated):
-        return [r[1] for r in rated]
-    total = np.sum([r[0] for r in rated], axis=0)
-    return [a if not close or total[a] >= total[b] else b for _, a, b, close, *_ in rated]
+SHORT = 8  # sentences of fewer characters say too little by themselves
+
+
+def _settled(rated: list[tuple], sizes: list[int]) -> list[int]:
+    """``rated`` has (scores, best, second, close) of each sentence of a text, ``sizes`` their lengths.
+
+    Short sentences go with the one before them, at the start with the one after; where all are short they count together.
+    """
+    if min(sizes) >= SHORT:
+        if not any(r[3] for r in rated):
+            return [r[1] for r in rated]
+        total = np.sum([r[0] for r in rated], axis=0)
+        return [a if not close or total[a] >= total[b] else b for _, a, b, close, *_ in rated]
+    long = [i for i, n in enumerate(sizes) if n >= SHORT]
+    if not long:
+        return [int(np.sum([r[0] for r in rated], axis=0).argmax())] * len(rated)
+    labels = dict(zip(long, _settled([rated[i] for i in long], [SHORT] * len(long)), strict=True))
+    out, last = [], labels[long[0]]
+    for i in range(len(rated)):
+        last = labels.get(i, last)
+        out.append(last)
+    return out
 
 
 def rate(model: KernelModel, texts: list[str], doubt: float = 0.25) -> list[tuple]:
@@ -246,7 +270,7 @@ def detect_segments(
 ) -> DataFrame:
     """``(id, label, language, confidence, segments, whole_languages)`` of every row with prose.
 
-    ``language`` has the most characters, ``segments`` are runs of sentences of one language with their confidence,
+    The model is fitted on at most ``sample_rows`` labelled rows a language. ``language`` has the most characters, ``segments`` are runs of sentences of one language with their confidence,
     ``whole_languages`` the languages with a whole sentence, ``label`` the label's ISO code or ''. Null and empty
     texts and texts without prose give language null, confidence 0 and no segments. Rows delivered twice give equal
     rows. An empty table gives an empty result.
@@ -276,7 +300,7 @@ def detect_segments(
                         lang.append(None), conf.append(0.0), segs.append([]), wholes.append([])
                         continue
                     rated = [known[s] for s in p]
-                    labels = _settled(rated)
+                    labels = _settled(rated, [len(s) for s in p])
                     runs, size = [], [0] * len(LANGUAGES)
                     for s, l, r in zip(p, labels, rated, strict=True):
                         size[l] += len(s)

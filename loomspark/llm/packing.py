@@ -109,26 +109,8 @@ def _best_fit(sizes: np.ndarray, capacity: int) -> np.ndarray:
 MAX_TARGETS = 1000  # they become literals of one plan
 
 
-def pack(
-    docs: DataFrame,
-    targets: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-    shares: dict[str, float] | None = None,
-    bins_per_window: int = 256,
-    block_rows: int = 10_000,
-    paths: dict[str, str] | None = None,
-) -> DataFrame:
-    """``(target_id, doc_id, piece, container_id, n_tokens)``: the containers of every text for every target.
-
-    ``targets`` has ``target_id, tokenizer_name, capacity_tokens`` and is a small table (it is read to the driver, one
-    row per container kind, and more than ``MAX_TARGETS`` are an error; rows without a tokenizer or a positive capacity give nothing, repeated rows count once).
-    ``shares`` are target token proportions by source, relative to each other; by default those of the corpus, for
-    which all queues end in the same window. A source without an entry gets its corpus share. Null sources form a
-    queue of their own. Null and empty texts take no container. ``n_tokens`` never exceeds the capacity and an item
-    has several pieces only if it alone exceeds the capacity.
-    """
+def _queues(docs: DataFrame, targets: DataFrame, id_col: str, text_col: str, source_col: str, shares: dict[str, float] | None, bins_per_window: int, block_rows: int, paths: dict[str, str] | None) -> tuple[DataFrame, DataFrame]:
+    """Items ``(target_id, _source, win, _id, piece, size, cap, share)`` with their window, and the full parts of cut items."""
     spark = docs.sparkSession
     kinds = targets.filter("tokenizer_name is not null and capacity_tokens > 0 and target_id is not null").select("target_id", "tokenizer_name", "capacity_tokens").distinct()
     rows = kinds.orderBy("target_id").limit(MAX_TARGETS + 1).collect()
@@ -136,9 +118,9 @@ def pack(
         raise ValueError(f"more than {MAX_TARGETS} different pack targets; pack them in several calls")
     tokenizers = sorted({r.tokenizer_name for r in rows})
     id_kind = docs.schema[id_col].dataType.simpleString()
-    out = f"target_id int, _id {id_kind}, piece bigint, container_id string, n_tokens bigint"
     if not rows:
-        return spark.createDataFrame([], out).withColumnRenamed("_id", id_col)
+        none = spark.createDataFrame([], f"target_id int, _source string, win bigint, _id {id_kind}, piece bigint, size bigint, cap bigint, share double, container_id string, n_tokens bigint")
+        return none, none
     sizes = materialize(measured(docs, tokenizers, id_col, text_col, source_col, paths), "pack-sizes")
 
     # one row per target and text; the tables of targets and of shares are literals of bounded size
@@ -170,14 +152,76 @@ def pack(
         .join(quanta, ["target_id", "_source"])
         .withColumn("upto", F.col("before") + F.sum("size").over(Window.partitionBy("target_id", "_source", "block").orderBy("_id")))
         .withColumn("win", (F.ceil(F.col("upto") / (F.col("share") * F.col("cap") * bins_per_window)) - 1).cast("bigint"))
-        .select("target_id", "win", "_id", "piece", "size", "cap")
+        .select("target_id", "_source", "win", "_id", "piece", "size", "cap", "share")
     )
+    return served, full
+
+
+def _filled(served: DataFrame, id_kind: str) -> DataFrame:
+    """``(target_id, win, _source, _id, piece, container_id, n_tokens, cap, share)``: best fit decreasing inside each window."""
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["size", "_id"], ascending=[False, True], kind="stable").reset_index(drop=True)
         box = _best_fit(pdf["size"].to_numpy(), int(pdf["cap"].iloc[0]))
         label = [f"w{w}-{b}" for w, b in zip(pdf["win"], box, strict=True)]
-        return pd.DataFrame({"target_id": pdf["target_id"], "_id": pdf["_id"], "piece": pdf["piece"], "container_id": label, "n_tokens": pdf["size"]})
+        return pd.DataFrame({k: pdf[k] for k in ("target_id", "win", "_source", "_id", "piece")} | {"container_id": label, "n_tokens": pdf["size"], "cap": pdf["cap"], "share": pdf["share"]})
+
+    out = f"target_id int, win bigint, _source string, _id {id_kind}, piece bigint, container_id string, n_tokens bigint, cap bigint, share double"
+    return served.groupBy("target_id", "win").applyInPandas(fill, out)
 
-    packed = served.groupBy("target_id", "win").applyInPandas(fill, out)
-    return packed.unionByName(full).withColumnRenamed("_id", id_col)
+
+def pack(
+    docs: DataFrame,
+    targets: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    shares: dict[str, float] | None = None,
+    bins_per_window: int = 256,
+    block_rows: int = 10_000,
+    paths: dict[str, str] | None = None,
+) -> DataFrame:
+    """``(target_id, doc_id, piece, container_id, n_tokens)``: the containers of every text for every target.
+
+    ``targets`` has ``target_id, tokenizer_name, capacity_tokens`` and is a small table (it is read to the driver, one
+    row per container kind, and more than ``MAX_TARGETS`` are an error; rows without a tokenizer or a positive capacity give nothing, repeated rows count once).
+    ``shares`` are target token proportions by source, relative to each other; by default those of the corpus, for
+    which all queues end in the same window. A source without an entry gets its corpus share. Null sources form a
+    queue of their own. Null and empty texts take no container. ``n_tokens`` never exceeds the capacity and an item
+    has several pieces only if it alone exceeds the capacity.
+    """
+    served, full = _queues(docs, targets, id_col, text_col, source_col, shares, bins_per_window, block_rows, paths)
+    columns = ["target_id", "_id", "piece", "container_id", "n_tokens"]
+    packed = _filled(served, docs.schema[id_col].dataType.simpleString()).select(columns)
+    return packed.unionByName(full.select(columns)).withColumnRenamed("_id", id_col)
+
+
+def window_report(
+    docs: DataFrame,
+    targets: DataFrame,
+    shares: dict[str, float],
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    bins_per_window: int = 256,
+    block_rows: int = 10_000,
+    paths: dict[str, str] | None = None,
+) -> DataFrame:
+    """``(target_id, win, n_items, n_containers, n_tokens, fill, n_sources, share_error)`` of each window of ``pack``.
+
+    ``fill`` is the used part of the containers, ``n_sources`` the number of queues that served, ``share_error`` half the
+    sum of the differences between the token shares of the window and those of ``shares`` (0 is exact, 1 is disjoint).
+    Queues that have run out are missing from later windows, which then count with what the others bring.
+    """
+    served, _ = _queues(docs, targets, id_col, text_col, source_col, shares, bins_per_window, block_rows, paths)
+    packed = _filled(served, docs.schema[id_col].dataType.simpleString())
+    by = ["target_id", "win"]
+    parts = packed.groupBy(*by, "_source").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("items"), F.max("share").alias("share"), F.max("cap").alias("cap"))
+    boxes = packed.select(*by, "container_id").distinct().groupBy(*by).agg(F.count("*").alias("n_containers"))
+    total = F.sum("n").over(Window.partitionBy(*by))
+    per = parts.withColumn("gap", F.abs(F.col("n") / total - F.col("share"))).groupBy(*by).agg(
+        F.sum("items").alias("n_items"), F.sum("n").alias("n_tokens"), F.count("*").alias("n_sources"), (0.5 * (F.sum("gap") + 1 - F.sum("share"))).alias("share_error"), F.max("cap").alias("cap")
+    )
+    return per.join(boxes, by).select(
+        *by, "n_items", "n_containers", "n_tokens", F.round(F.col("n_tokens") / (F.col("cap") * F.col("n_containers")), 6).alias("fill"), "n_sources", F.round(F.greatest("share_error", F.lit(0.0)), 6).alias("share_error")
+    )

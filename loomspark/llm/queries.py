@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspark.llm import encoding, language, mojibake, nearcopies, neighbors, packing, scanned, subjects
+from loomspark.operators.incremental import latest_per_key
 from loomspark.session import table
 
 
@@ -15,8 +16,8 @@ def prose(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Language, confidence and language segments of every chunk."""
-    return language.detect_segments(prose(spark, sf_dir)).dropDuplicates(["chunk_id"])
+    """Language, confidence and language segments of every chunk in its latest delivery; texts without prose have none."""
+    return language.detect_segments(latest_per_key(table(spark, sf_dir, "chunks"), "chunk_id", "updated_at", "version", "chunk_index"))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +87,11 @@ def p7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_targets"))
 
 
+def p7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill and share error of each window when the handbook gets three tenths of the weight instead of its corpus share."""
+    return packing.window_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_targets"), {"ops-handbook": 0.3})
+
+
 def p8_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Restored text and damaged spans of every affected document."""
     return mojibake.find_damage(table(spark, sf_dir, "documents"))
@@ -95,7 +101,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mojibake.find_damage(table(spark, sf_dir, "documents")).select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_languages, p1_found, p2_groups, p2_found, p3_chunks, p3_shares, p3_found, p4_texts, p4_found, p5_neighbors, p5_found, p6_ids, p7_packing, p8_restored, p8_found)}
+QUERIES = {f.__name__: f for f in (p1_languages, p1_found, p2_groups, p2_found, p3_chunks, p3_shares, p3_found, p4_texts, p4_found, p5_neighbors, p5_found, p6_ids, p7_packing, p7_mixture, p8_restored, p8_found)}
 ORACLES: dict[str, str] = {
     "p2_found": """
         with w as (select distinct chunk_id, regexp_extract_all(lower(chunk_text), '[\\p{L}\\p{N}]+') as w from chunks

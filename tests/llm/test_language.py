@@ -54,3 +54,20 @@ def test_held_out_accuracy(spark):
     model = language.fit_on(d.filter(split == 0), "chunk_id", "chunk_text", "language", 100)
     r = language.detect_segments(d.filter(split == 1), model=model).filter(F.size("whole_languages") == 1)
     assert r.filter(F.col("label") == F.col("language")).count() > 0.93 * r.count()  # the labels themselves hold a few errors
+
+
+def test_short_sentences_count(spark):
+    extra = [("ko-short", "네. 맞다. 좋다.", None), ("fr-short", "Oui. Non. Si la fin.", None), ("tail", DE + "Ja. " + DE, "de")]
+    r = {x.chunk_id: x for x in language.detect_segments(spark.createDataFrame(rows(spark) + extra, SCHEMA)).collect()}
+    assert r["ko-short"].language == "ko" and r["fr-short"].segments[0].text == "Oui. Non. Si la fin."
+    assert [s.language for s in r["tail"].segments] == ["de"] and "Ja." in r["tail"].segments[0].text
+
+
+def test_no_landmark_gram_is_lost():
+    import numpy as np
+
+    same_slot = np.uint64(1 << language.KernelModel.BITS)
+    who, keys, size = language.presence(["abcdef"])
+    grams = np.concatenate([keys ^ same_slot, keys, keys ^ (same_slot << np.uint64(1))])
+    weights = np.concatenate([np.full(len(keys), 5.0), np.ones(len(keys)), np.full(len(keys), 7.0)])[:, None]
+    assert abs(language.KernelModel(grams, weights, 1.0).scores(["abcdef"])[0, 0] - len(keys) / len(keys) ** 0.5) < 1e-6

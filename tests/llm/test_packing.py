@@ -34,6 +34,17 @@ def test_windows_keep_the_proportions(spark):
     assert share.between(0.2, 0.3).mean() > 0.9  # the target is a quarter; the last window holds what is left
 
 
+def test_windows_keep_a_mixture_unlike_the_corpus(spark):
+    rows = [(i, "token " * 20, "a" if i % 10 else "b") for i in range(4000)] + [(9000, None, "b"), (9001, "", "c")]
+    t = spark.createDataFrame([(1, "byte_bpe_50k", 400)], TARGETS)
+    d = spark.createDataFrame(rows, DOCS)
+    r = packing.window_report(d, t, {"a": 1.0, "b": 1.0}, bins_per_window=10, block_rows=100).orderBy("win").toPandas()
+    both = r[r.n_sources == 2]
+    assert len(both) >= 3 and both.share_error.iloc[:-1].max() < 0.05  # half and half while both queues serve
+    assert r.fill.mean() > 0.9 and r.n_items.sum() == 4000 and (r[r.n_sources == 1].share_error >= 0.49).all()
+    assert packing.window_report(d.limit(0), t, {"a": 1.0}).count() == 0
+
+
 def test_word_counts_add_up():
     import public_tokenizers
     import sentencepiece
