@@ -17,11 +17,6 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
 
 
-def count_sub(text: Column, sub: str) -> Column:
-    """Non-overlapping occurrences of a literal."""
-    return ((F.length(text) - F.length(F.replace(text, F.lit(sub), F.lit("")))) / len(sub)).cast("int")
-
-
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
 
@@ -34,3 +29,20 @@ def after_front_matter(c: Column) -> Column:
     """What follows the second '---' of a text that begins with '---'; null for other texts."""
     second = F.locate("---", c, 4)
     return F.when(F.startswith(c, F.lit("---")) & (second > 0), F.substring(c, second + 3, F.length(c)))
+
+
+def flat_inline(c: Column) -> Column:
+    """Text without inline marks: links and images become their text, emphasis and code ticks go; what is inside code ticks stays as it is."""
+    parts = F.split(F.regexp_replace(c, r"!?\[([^\]]*)\]\([^)]*\)", "$1"), "`", -1)
+
+    def bare(p: Column) -> Column:
+        for pattern in (r"\*\*([^*]+)\*\*", r"\*([^*\s][^*]*)\*"):
+            p = F.regexp_replace(p, pattern, "$1")
+        for pattern in (r"(^|[\s(])__([^_]+)__", r"(^|[\s(])_([^_]+)_"):
+            p = F.regexp_replace(p, pattern, "$1$2")
+        return p
+
+    n = F.size(parts)
+    # an uneven number of ticks leaves the last one as a sign of its own
+    flat = F.transform(parts, lambda p, i: F.when((i % 2 == 1) & (i < n - 1), p).when(i % 2 == 1, F.concat(F.lit("`"), bare(p))).otherwise(bare(p)))
+    return F.array_join(flat, "")

@@ -7,17 +7,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def merge(new: DataFrame, old: DataFrame, now: Column) -> DataFrame:
+def merge(new: DataFrame, old: DataFrame, now: Column, within: str | None = None) -> DataFrame:
     """``new`` with ``status, version, created_at, updated_at``.
 
     A content hash that ``old`` has keeps version and creation time of its first row (by chunk_index, then chunk_id):
     'unchanged'. A chunk_id that ``old`` has counts one version up: 'updated'. Other rows are 'added' at version 1.
+    With ``within`` (a column of both, as source_file) only rows of the same value are compared.
     """
-    first = Window.partitionBy("content_hash").orderBy("chunk_index", "chunk_id")
-    by_hash = old.withColumn("rn", F.row_number().over(first)).filter("rn = 1").select("content_hash", F.col("version").alias("hv"), F.col("created_at").alias("hc"))
-    same_id = Window.partitionBy("chunk_id").orderBy("chunk_index", "content_hash")
-    by_id = old.withColumn("rn", F.row_number().over(same_id)).filter("rn = 1").select("chunk_id", F.col("version").alias("iv"), F.col("created_at").alias("ic"))
-    both = new.join(by_hash, "content_hash", "left").join(by_id, "chunk_id", "left")
+    key = [within] if within else []
+    first = Window.partitionBy(*key, "content_hash").orderBy("chunk_index", "chunk_id")
+    by_hash = old.withColumn("rn", F.row_number().over(first)).filter("rn = 1").select(*key, "content_hash", F.col("version").alias("hv"), F.col("created_at").alias("hc"))
+    same_id = Window.partitionBy(*key, "chunk_id").orderBy("chunk_index", "content_hash")
+    by_id = old.withColumn("rn", F.row_number().over(same_id)).filter("rn = 1").select(*key, "chunk_id", F.col("version").alias("iv"), F.col("created_at").alias("ic"))
+    both = new.join(by_hash, [*key, "content_hash"], "left").join(by_id, [*key, "chunk_id"], "left")
     return both.select(
         *new.columns,
         F.when(F.col("hv").isNotNull(), "unchanged").when(F.col("iv").isNotNull(), "updated").otherwise("added").alias("status"),

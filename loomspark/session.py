@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -27,12 +28,21 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8) -> Spar
     )
 
 
+_shipped: set[str] = set()
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package when it is not installed on them."""
-    env = spark.sparkContext.environment
-    paths = env.get("PYTHONPATH", "")
-    if ROOT not in paths.split(os.pathsep):
-        env["PYTHONPATH"] = ROOT + (os.pathsep + paths if paths else "")
+    """Let Python workers import this package when it is not installed on them: by path on one machine, as an archive on a cluster."""
+    context = spark.sparkContext
+    if context.master.startswith("local"):
+        env = context.environment
+        paths = env.get("PYTHONPATH", "")
+        if ROOT not in paths.split(os.pathsep):
+            env["PYTHONPATH"] = ROOT + (os.pathsep + paths if paths else "")
+    elif context.applicationId not in _shipped:
+        folder = tempfile.mkdtemp(prefix="loomspark-archive-")  # read by the driver alone, which serves it to the executors
+        context.addPyFile(shutil.make_archive(f"{folder}/loomspark", "zip", ROOT, "loomspark"))
+        _shipped.add(context.applicationId)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,20 +54,43 @@ _own_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a folder of its own only where that is unset."""
+    """The application's part of the folder all executors share, ``spark.checkpoint.dir``.
+
+    On one machine a temporary folder serves where that is unset; on a cluster it must be set.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if folder:
-        return folder.rstrip("/")
     app = spark.sparkContext.applicationId
+    if folder:
+        return f"{folder.rstrip('/')}/loomspark-{app}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if app not in _own_folders:
         _own_folders[app] = tempfile.mkdtemp(prefix="loomspark-")
     return _own_folders[app]
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system, as the JVM sees them."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, fs = hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete what this application materialized. Results that still read it can't be used afterwards."""
+    p, fs = hadoop_path(spark, shared_folder(spark))
+    fs.delete(p, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage of ``df`` by writing it once into the shared folder and reading it back.
 
     Used where one result feeds several later branches, so that it is neither computed twice nor lost with an executor.
+    The tables stay until ``clean_up``.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"

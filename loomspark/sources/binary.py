@@ -2,34 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SCHEMA = "source_file string, source_format string, content string, error string"
+from loomspark.sources.files import list_files, read_files
 
 
-def read_binary(spark: SparkSession, folder: str, extractors: dict[str, Callable[[bytes], str]]) -> DataFrame:
+def read_binary(spark: SparkSession, folder: str, extractors: dict[str, Callable[[bytes], str]], max_depth: int = 5) -> DataFrame:
     """``(source_file, source_format, content, error)`` of the files below ``folder`` whose extension has an extractor.
 
     A failing extractor or an empty result gives a row with ``error`` and a null content; it doesn't stop the run.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            contents, errors = [], []
-            for ext, data in zip(b.column("ext").to_pylist(), b.column("content").to_pylist(), strict=True):
-                try:
-                    text = extractors[ext](data)
-                    contents.append(text or None)
-                    errors.append(None if text else "empty result")
-                except Exception as e:  # noqa: BLE001  one bad file must not stop the run
-                    contents.append(None)
-                    errors.append(f"{type(e).__name__}: {e}"[:500])
-            yield pa.RecordBatch.from_arrays([b.column("source_file"), b.column("ext"), pa.array(contents, pa.string()), pa.array(errors, pa.string())], ["source_file", "source_format", "content", "error"])
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    named = files.select(F.element_at(F.split("path", "/"), -1).alias("source_file"), F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1)).alias("ext"), "content")
-    return named.filter(F.col("ext").isin(list(extractors))).mapInArrow(run, SCHEMA)
+    files = list_files(spark, folder, max_depth).filter(F.col("ext").isin(list(extractors)))
+    rows = read_files(files, lambda ext, data: extractors[ext](data))
+    empty = F.col("error").isNull() & (F.coalesce("content", F.lit("")) == "")
+    return rows.select("source_file", F.col("ext").alias("source_format"), F.when(~empty, F.col("content")).alias("content"), F.when(empty, "empty result").otherwise(F.col("error")).alias("error"))

@@ -1,4 +1,4 @@
-"""Continuous re-processing: new and changed files of a folder flow through chunking into a chunk table."""
+"""Continuous processing: files that arrive in a folder flow through preparation and chunking into a versioned chunk table."""
 
 from __future__ import annotations
 
@@ -8,30 +8,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from loomspark.operators.chunking import split_documents
-from loomspark.operators.incremental import merge
-from loomspark.session import materialize
-from loomspark.sources.files import read_chunks, write_chunks
+from loomspark.operators import store
+from loomspark.sources.files import TEXT_FORMATS, read_documents
 
-SCHEMA = "chunk_id string, content_hash string, source_file string, chunk_index int, chunk_text string, version int, created_at string, updated_at string"
 
+def merge_batch(table: str, batch: DataFrame, now: str, max_size: int = 2000, buckets: int = store.BUCKETS) -> DataFrame:
+    """Merge the files of a batch ``(source_file, source_format, modified, content)`` into the table; of a file that came twice the latest counts."""
+    latest = F.max_by(F.struct("source_format", "content"), F.struct(F.col("modified"), F.coalesce("content", F.lit(""))))
+    return store.run(batch.groupBy("source_file").agg(latest.alias("d")).select("source_file", "d.*"), table, now, max_size, buckets=buckets)
 
-def merge_batch(table_path: str, batch: DataFrame, now: str, max_size: int) -> None:
-    """Chunk the files of a batch (source_file, content) and merge them into the table; other files stay."""
-    spark = batch.sparkSession
-    docs = batch.groupBy("source_file").agg(F.last("content").alias("content"))
-    new = split_documents(docs.withColumn("id", F.col("source_file")), "id", "content", "source_file", max_size).drop("id")
-    old = read_chunks(spark, table_path, SCHEMA).join(docs.select("source_file"), "source_file", "left_semi")
-    merged = merge(new, old, F.lit(now)).select("chunk_id", "content_hash", "source_file", "chunk_index", "chunk_text", "version", "created_at", "updated_at")
-    write_chunks(materialize(merged, "merged-chunks"), table_path)
 
+def watch_folder(spark: SparkSession, folder: str, table: str, checkpoint: str, clock: Callable[[], str], max_size: int = 2000, buckets: int = store.BUCKETS) -> StreamingQuery:
+    """Process the files that are new in ``folder`` and stop; called again it goes on where it stopped.
 
-def watch_folder(spark: SparkSession, folder: str, table_path: str, checkpoint: str, clock: Callable[[], str], max_size: int = 2000) -> StreamingQuery:
-    """Process what is new in ``folder`` and stop; called again it goes on where it stopped."""
-    stream = spark.readStream.text(folder, wholetext=True).select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("source_file"), F.col("value").alias("content"))
-    return (
-        stream.writeStream.foreachBatch(lambda b, _: merge_batch(table_path, b, clock(), max_size)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    The stream remembers paths: a file that is changed in place, or is empty, is not seen again. ``sync_folder`` compares
+    all files with the manifest instead.
+    """
+    root = folder.rstrip("/").removeprefix("file:").lstrip("/")
+    known = F.create_map(*(x for k, v in TEXT_FORMATS.items() for x in (F.lit(k), F.lit(v))))
+    path = F.url_decode(F.regexp_replace("_metadata.file_path", r"\+", "%2B"))
+    rows = spark.readStream.text(folder, wholetext=True, recursiveFileLookup=True).select(
+        F.regexp_replace(path, f"^(file:)?/*{root}/", "").alias("source_file"), F.col("_metadata.file_modification_time").alias("modified"), F.regexp_replace("value", "\r\n?", "\n").alias("content")
     )
+    rows = rows.withColumn("source_format", F.element_at(known, F.lower(F.regexp_extract("source_file", r"\.([^./]+)$", 1)))).filter("source_format is not null")
+
+    def each(batch: DataFrame, _: int) -> None:
+        merge_batch(table, batch, clock(), max_size, buckets)
+
+    return rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def sync_folder(spark: SparkSession, folder: str, table: str, now: str, max_size: int = 2000, buckets: int = store.BUCKETS) -> DataFrame:
+    """Bring the table up to date with all text files of ``folder``, new, changed in place or emptied; counts as ``store.run``."""
+    return store.run(read_documents(spark, folder), table, now, max_size, buckets=buckets)
 
 
 def windowed_counts(events: DataFrame, watermark: str = "10 minutes", window: str = "5 minutes") -> DataFrame:

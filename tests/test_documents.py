@@ -85,10 +85,33 @@ def test_packer_on_random_sections(spark):
 
 
 def test_blocks(spark):
-    text = "| a | b |\n| --- | --- |\n| 1 | 2 |\n| 3 | 4 |\n\n- x\n- y\n\n```py\n# no heading\n\n```\n| lone |\nrest"
+    text = "| a | b |\n| --- | --- |\n| 1 | 2 |\n| 3 |\n\n- x\n- y\n\n```py\n# no heading\n\n```\n| lone |\nrest"
     s = markdown.sections(docs(spark, text), "id", "t").orderBy("seq").collect()
     assert [x.element_type for x in s] == ["table", "list", "code", "paragraph"]
-    assert s[0].table_headers == ["a", "b"] and s[0].table_row_count == 2 and s[2].text.startswith("```py") and s[3].text == "| lone |\nrest"
+    assert s[0].table_headers == ["a", "b"] and s[0].table_row_count == 2 and s[2].text.startswith("```py") and s[3].text == "| lone | rest"
+    assert s[0].text == "| a | b |\n| --- | --- |\n| 1 | 2 |\n| 3 |  |" and s[1].text == "- x\n- y"
+
+
+def test_lists_quotes_and_inline_marks(spark):
+    def blocks(text):
+        return [(x.element_type, x.text) for x in markdown.sections(docs(spark, text), "id", "t").orderBy("seq").collect()]
+
+    assert blocks("* one\n  goes on\nlazily\n\n* two\n  - below\n\n  a second paragraph\n\nplain") == [("list", "- one goes on lazily\n- two below a second paragraph"), ("paragraph", "plain")]
+    assert blocks("1. a\n2. b\n- c\n* d") == [("list", "- a\n- b"), ("list", "- c"), ("list", "- d")]
+    assert blocks("text\n- item") == [("paragraph", "text"), ("list", "- item")]
+    assert blocks("> a **b**\n> > c\nlazy\n\n> d\n>") == [("blockquote", "a b c lazy"), ("blockquote", "d")]
+    assert blocks("see [the `x_y`](u) and ![pic](p), **very** *nice* __bold__ _it_, `**raw**` a_b_c 2 * 3\nnext") == [("paragraph", "see the x_y and pic, very nice bold it, **raw** a_b_c 2 * 3 next")]
+    assert blocks("## A `b` *c*\r\nx\r\n\r\n---\r\ny ` z") == [("header", "## A b c"), ("paragraph", "x"), ("paragraph", "y ` z")]
+    assert blocks(">\n\n***\n") == [] and blocks("| a | b |\n| c |") == [("table", "| a | b |\n| c |")]
+
+
+def test_records(spark):
+    d = docs(spark, "# T\n\nx", None).withColumn("domain", F.lit(None).cast("string"))
+    meta = d.select("id", "domain", F.lit("s").alias("sub_domain"), F.array(F.lit('a"b'), F.lit("é")).alias("keywords"), F.lit("en").alias("language"), F.lit("article").alias("content_type"))
+    rows = chunking.chunks(d, chunking.pack(markdown.sections(d, "id", "t"), "id"), "id", "t", "file")
+    out = chunking.records(rows, meta, "id", F.lit("now"))
+    assert [f.name for f in out.schema] == [f.split(" ")[0] for f in chunking.CHUNK_SCHEMA.split(", ")]
+    assert {(r.source_file, r.chunk_type, r.domain, r.keywords, r.version, r.updated_at) for r in out.collect()} == {(f, k, "", '["a\\"b", "é"]', 1, "now") for f, k in (("a.md", "header"), ("b.md", "document"))}
 
 
 def test_empty_document_gives_one_chunk(spark):
@@ -138,6 +161,17 @@ def test_vectors(spark):
     labels = spark.createDataFrame([(1, "Y"), (2, "X"), (3, "Y")], "id bigint, label string")
     assert vector.search_filtered(e, e.filter("id = 1"), "id", "v", labels, F.col("label") == "X", 1).count() == 0
     assert vector.search(e.limit(0), e.limit(0), "id", "v").count() == 0
+    odd = spark.createDataFrame([(5, [1.0, 0.0, 0.0, 0.0]), (6, [1.0]), (7, [])], "id bigint, v array<float>")  # other lengths drop out, the rest stays
+    assert [x.id for x in vector.search(e.unionByName(odd).coalesce(1), e.filter("id = 1"), "id", "v", 2).orderBy("rank").collect()] == [1, 3]
+
+
+def test_compatibility(spark):
+    info = spark.createDataFrame([(1, "m", 2, "t")], "id int, model_name string, embedding_dim int, created_at string")
+    vectors = lambda *ls: vector.stored_dimensions(spark.createDataFrame([("x", [0.0] * n) for n in ls] + [("n", None)], "chunk_id string, embedding array<float>"))
+    fits = lambda i, v, m, d: tuple(vector.compatibility(i, v, m, d).first())
+    assert fits(info.limit(0), vectors(), "m", 2) == (True, None, None)
+    assert fits(info, vectors(2, 2), "m", 2) == (True, "m", 2) and fits(info, vectors(2), "other", 2) == (False, "m", 2)
+    assert fits(info, vectors(2, 3, 3), "m", 2) == (False, "m", 3) and fits(info, vectors(), "m", 4) == (False, "m", 2)
 
 
 def test_enrich(spark):
