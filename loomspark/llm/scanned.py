@@ -1,13 +1,14 @@
 """Repair of text from scanned pages.
 
-Lines are labelled as running header, page number, title, body or blank by a hidden Markov model over layout features
-(shape of the line, likeness to the document's name, likeness to the section's heading), trained by Viterbi
-re-estimation on a bounded sample of chunks from scanned files. Body lines are put together into paragraphs across the
-page furniture; words broken at line ends and words with misread characters are set right by the counts that the
-possible readings have in the whole corpus.
-
-A file counts as scanned if none of its prose has a Markdown heading and some line ends in a broken word or is a page
-number, or a word has a digit among its letters.
+Whether a file was scanned is a latent state: a two-class mixture over the shares of its chunks with heading marks, words
+broken at line ends, page numbers, and digits inside words, fitted by expectation-maximisation on a bounded sample of
+files. Lines of scanned files are labelled as body, break (a body line that ends in a broken word), running header, page
+number, title or blank by a hidden Markov model over layout features (shape of the line, a hyphen at its end, likeness to
+the document's name, likeness to the section's heading), trained by Viterbi re-estimation on a bounded sample of chunks.
+Body lines are put together into paragraphs across the page furniture, and words broken at the end of break lines are
+joined. Words with misread characters are set right by the counts that the possible readings have in the whole corpus: a
+word and its readings share a folded form in which all characters that are mistaken for each other are one, so that words
+of any length meet their readings in one join; the readings are then checked character by character.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -44,7 +45,8 @@ DIGIT_INSIDE = re.compile(r"[^\W\d_]{2}[0159](?=[^\W\d_])|\b[0159][^\W\d_]{3}")
 _FOLD = str.maketrans("0159íä6", "olsgiaé")
 _NUMBER = r"(?:\d{1,4}|[ivxlc]{1,8})"
 _AROUND = re.compile(rf"^\s*{_NUMBER}\s*\|\s*|\s*[·|]\s*\d{{1,3}}(?:\s*/\s*\d+)?\s*$|\s{{2,}}{_NUMBER}\s*$|\s+\d{{1,4}}\s*/\s*\d{{1,4}}\s*$", re.I)
-STATES = ["body", "title", "header", "page", "blank"]
+STATES = ["body", "break", "title", "header", "page", "blank"]
+SIGNS = ("heads", "broken", "pages", "digits")  # chunks of a file with heading marks, broken words, page numbers, digits inside words
 
 
 def fold(text: str) -> str:
@@ -81,7 +83,7 @@ def is_running_name(line: str, names: list[str]) -> bool:
 
 
 def features(lines: list[str], names: list[str], heading: str | None) -> list[int]:
-    """One symbol for each line: its shape, whether it is a running name, whether it is the section's heading."""
+    """One symbol for each line: its shape, whether it is a running name, whether it is the section's heading, whether a word is broken at its end."""
     width = max((len(x) for x in lines), default=0)
     head = fold(heading or "")
     out = []
@@ -96,24 +98,26 @@ def features(lines: list[str], names: list[str], heading: str | None) -> list[in
             shape = 2
         else:
             shape = 3
-        out.append(shape + 4 * is_running_name(s, names) + 8 * bool(head and like(fold(s), head) >= 0.8))
+        out.append(shape + 4 * is_running_name(s, names) + 8 * bool(head and like(fold(s), head) >= 0.8) + 16 * bool(BROKEN.search(s)))
     return out
 
 
 class LineModel:
-    """Start, transition and emission log-probabilities of the states."""
+    """Start, transition and emission log-probabilities of the states; the first guesses count as ``prior_lines`` lines a state."""
 
-    def __init__(self) -> None:
-        n, m = len(STATES), 16
+    def __init__(self, prior_lines: float = 200.0) -> None:
+        n, m = len(STATES), 32
+        self.prior_lines = prior_lines
         emit = np.full((n, m), 0.01)
-        body, title, header, page, blank = range(n)
+        body, broken, title, header, page, blank = range(n)
         emit[blank, 0] = 100
         emit[page, [1, 5]] = 50, 1
         emit[header, [5, 6, 7]] = 5, 50, 30
         emit[title, [10, 11, 14]] = 50, 20, 3
         emit[body, [2, 3]] = 10, 90
+        emit[broken, [18, 19]] = 10, 90
         move = np.full((n, n), 1.0)
-        move[body, body], move[page, header], move[header, page] = 20, 3, 3
+        move[body, body], move[body, broken], move[broken, body], move[page, header], move[header, page] = 20, 10, 20, 3, 3
         self.emit, self.move = np.log(emit / emit.sum(1, keepdims=True)), np.log(move / move.sum(1, keepdims=True))
 
     def label(self, symbols: list[int]) -> list[int]:
@@ -130,18 +134,41 @@ class LineModel:
             state = int(c[state])
         return [*out, state][::-1]
 
-    def train(self, sequences: list[list[int]], rounds: int = 4) -> None:
-        """Viterbi re-estimation; the first values count as a thousand lines, so that rare states stay what they are."""
-        emit0, move0 = np.exp(self.emit) * 1000, np.exp(self.move) * 1000
+    def train(self, sequences: list[list[int]], rounds: int = 6) -> None:
+        """Viterbi re-estimation until no label changes, ``rounds`` times at most."""
+        emit0, move0 = np.exp(self.emit) * self.prior_lines, np.exp(self.move) * self.prior_lines
+        last = None
         for _ in range(rounds):
             emit, move = emit0.copy(), move0.copy()
-            for symbols in sequences:
-                states = self.label(symbols)
+            labels = [self.label(symbols) for symbols in sequences]
+            for states, symbols in zip(labels, sequences, strict=True):
                 for s, x in zip(states, symbols, strict=True):
                     emit[s, x] += 1
                 for a, b in zip(states, states[1:], strict=False):
                     move[a, b] += 1
             self.emit, self.move = np.log(emit / emit.sum(1, keepdims=True)), np.log(move / move.sum(1, keepdims=True))
+            if labels == last:
+                break
+            last = labels
+
+
+def fit_scanned(counts: np.ndarray, rounds: int = 40) -> tuple[np.ndarray, float]:
+    """Two-class mixture over files: log-odds of scanned for a chunk with and without each sign, and of a file before any sign.
+
+    ``counts`` has for each file its chunks and its chunks with each of ``SIGNS``. A file without signs is more likely not scanned.
+    """
+    rate = np.array([[0.02, 0.5, 0.2, 0.3], [0.5, 0.01, 0.01, 0.05]])
+    share = 0.1
+    n, k = counts[:, :1].astype(float), counts[:, 1:].astype(float)
+    odds = lambda: np.log(share / (1 - share)) + (k * np.log(rate[0] / rate[1]) + (n - k) * np.log((1 - rate[0]) / (1 - rate[1]))).sum(1)
+    for _ in range(rounds if len(counts) else 0):
+        p = 1 / (1 + np.exp(-np.clip(odds(), -50, 50)))
+        for c, w in ((0, p), (1, 1 - p)):
+            # the first guess counts as five chunks, so that a class without files stays what it is
+            start = np.array([[0.02, 0.5, 0.2, 0.3], [0.5, 0.01, 0.01, 0.05]])[c]
+            rate[c] = np.clip(((w[:, None] * k).sum(0) + 5 * start) / ((w[:, None] * n).sum() + 5), 1e-3, 1 - 1e-3)
+        share = float(np.clip((p.sum() + 0.5) / (len(p) + 5), 1e-3, 0.5))
+    return np.stack([np.log(rate[0] / rate[1]), np.log((1 - rate[0]) / (1 - rate[1]))]), float(np.log(share / (1 - share)))
 
 
 def labelled(model: LineModel, text: str, title: str | None, source_file: str | None, heading: str | None) -> list[tuple[str, str]]:
@@ -167,7 +194,7 @@ def words_of(text: str) -> list[str]:
 def parts_of(lines: list[tuple[str, str]]) -> list[tuple[str, str]]:
     """Paragraphs of a text as (kind, piece): kind text, break for a word broken in two (left and right with \\x01), gap."""
     out: list[tuple[str, str]] = []
-    blank = False
+    blank = open_word = False
     for line, state in lines:
         s = line.strip()
         if state in ("header", "page"):
@@ -176,7 +203,8 @@ def parts_of(lines: list[tuple[str, str]]) -> list[tuple[str, str]]:
             blank = True
             continue
         last = out[-1][1] if out else ""
-        broken = BROKEN.search(last) if out and out[-1][0] == "text" else None
+        broken = BROKEN.search(last) if open_word and out[-1][0] == "text" else None
+        open_word = state == "break"
         if broken and state != "title" and s[0].isalpha() and (s[0].islower() or not blank):
             right, _, rest = s.partition(" ")
             tail = re.search(r"[^\w’'\-]+.*$", right)
@@ -194,81 +222,96 @@ def parts_of(lines: list[tuple[str, str]]) -> list[tuple[str, str]]:
     return out
 
 
-def readings(key: str) -> list[tuple[str, str, int]]:
-    """(reading, corpus word, cost) of a word or a broken word: as it is at cost 0, with misread places set right above.
+def folded(word: Column) -> Column:
+    """A word in the form in which all characters of ``MISREAD`` that are mistaken for each other are one; a first capital counts as small."""
+    low = F.concat(F.lower(F.substring(word, 1, 1)), F.substring(word, 2, F.length(word)))
+    one = F.translate(low, "eéç6t1Iiíä0Oó5S9", "cccclllllaooossg")
+    for sign, by in (("n", "rl"), ("u", "ll"), ("d", "cl"), ("m", "rrl"), ("b", "ll"), ("h", "ll"), ("8", "ll"), ("w", "vv"), ("ﬁ", "fl"), ("ﬂ", "fl"), ("ﬀ", "ff")):
+        one = F.replace(one, F.lit(sign), F.lit(by))
+    return one
+
+
+_BY_FIRST: dict[str, list[tuple[str, str]]] = {}
+for _wrong, _right in MISREAD:
+    _BY_FIRST.setdefault(_wrong[0], []).append((_wrong, _right))
 
-    A capitalised reading may also be known to the corpus with a small letter, at cost + 1.
+
+def misreads(word: str, reading: str, start: bool) -> int | None:
+    """The least number of misread places that turn ``reading`` into ``word``, None if none do.
+
+    Capitals are misread at the start of a word only; a digit that begins a sentence (``start``) isn't a small letter.
     """
-    start = key.startswith(START)
-    key = key.removeprefix(START)
-    if "\x01" in key:
-        left, right = key.split("\x01")
-        base = [f"{left}{right}", f"{left}-{right}"]
-    else:
-        base = [key]
-    found = dict.fromkeys(base, 0)
-    edge = base if len(key) <= 40 else []
-    for cost in (1, 2):
-        fresh = []
-        for w in edge:
-            for wrong, right in MISREAD:
-                at = w.find(wrong)
-                while at >= 0:
-                    fits = at == 0 if right.isupper() else not (start and at == 0 and wrong in "5018")
-                    r = w[:at] + right + w[at + len(wrong) :]
-                    if fits and r not in found and len(found) < 3000:
-                        found[r] = cost
-                        fresh.append(r)
-                    at = w.find(wrong, at + 1)
-        edge = fresh
-    out = [(r, r, c) for r, c in found.items()]
-    return out + [(r, r[0].lower() + r[1:], c + 1 if c else 0) for r, c in found.items() if r[0].isupper()]
+    best: list[dict[int, int]] = [{} for _ in range(len(word) + 1)]
+    best[0][0] = 0
+    for i, c in enumerate(word):
+        for j, cost in best[i].items():
+            if j < len(reading) and reading[j] == c:
+                best[i + 1][j + 1] = min(cost, best[i + 1].get(j + 1, cost))
+            for wrong, right in _BY_FIRST.get(c, ()):
+                fits = i == 0 if right.isupper() else not (start and i == 0 and wrong in "5018")
+                if fits and word.startswith(wrong, i) and reading.startswith(right, j):
+                    at, to = i + len(wrong), j + len(right)
+                    best[at][to] = min(cost + 1, best[at].get(to, cost + 1))
+    return best[len(word)].get(len(reading))
 
 
 def corpus_signs(chunks: DataFrame) -> DataFrame:
-    """``(key, is_word, n, heads)``: counts of all words, and of the signs of scanning in each file."""
+    """``(key, is_word, n, heads, broken, pages, digits)``: counts of all words, and of the chunks of each file with each sign of ``SIGNS``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            words, signs, heads = Counter(), Counter(), Counter()
+            words, files = Counter(), {}
             for f, t in zip(b.column("source_file").to_pylist(), b.column("chunk_text").to_pylist(), strict=True):
                 if not t:
                     continue
                 joined = bool(JOIN.search(t))
                 words.update((JOIN.sub(" ", t) if joined else t).split())
                 if f is not None:
-                    heads[f] += bool(HEADING.search(t))
-                    signs[f] += joined or bool(DIGIT_INSIDE.search(CODE.sub(" ", t))) or any(PAGE.match(x.strip()) for x in t.split("\n") if 0 < len(x.strip()) < 20)
+                    c = files.setdefault(f, [0] * 5)
+                    c[0] += 1
+                    c[1] += bool(HEADING.search(t))
+                    c[2] += joined
+                    c[3] += any(PAGE.match(x) for x in map(str.strip, t.split("\n")) if x)
+                    c[4] += bool(DIGIT_INSIDE.search(CODE.sub(" ", t)))
             bare = Counter()
             for w, n in words.items():
                 w = EDGES.sub("", w)
-                if w and len(w) <= 60 and not w.isdigit():
+                if w and not w.isdigit():
                     bare[w] += n
-            keys = [*bare, *signs]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.string()), pa.array([True] * len(bare) + [False] * len(signs)), pa.array([*bare.values(), *signs.values()], pa.int64()), pa.array([0] * len(bare) + [heads[f] for f in signs], pa.int64())],
-                ["key", "is_word", "n", "heads"],
-            )
+            rows = [(w, True, n, 0, 0, 0, 0) for w, n in bare.items()] + [(f, False, *c) for f, c in files.items()]
+            kinds = [pa.string(), pa.bool_(), *[pa.int64()] * 5]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["key", "is_word", "n", *SIGNS])
 
-    counted = chunks.select("source_file", "chunk_text").mapInArrow(run, "key string, is_word boolean, n bigint, heads bigint")
-    return counted.groupBy("key", "is_word").agg(F.sum("n").alias("n"), F.sum("heads").alias("heads"))
+    counted = chunks.select("source_file", "chunk_text").mapInArrow(run, "key string, is_word boolean, n bigint, " + ", ".join(f"{s} bigint" for s in SIGNS))
+    return counted.groupBy("key", "is_word").agg(*(F.sum(c).alias(c) for c in ("n", *SIGNS)))
 
 
 FEW_FILES = 20_000  # names of so many files (under 2 MB) may be broadcast; more are joined by a shuffle
 
 
-def scanned_repair(chunks: DataFrame, sample_rows: int = 1500, least_count: int = 3, ratio: float = 20.0) -> tuple[DataFrame, DataFrame]:
+def scanned_repair(
+    chunks: DataFrame, sample_rows: int = 1500, sample_files: int = 4000, least_count: int = 3, ratio: float = 20.0, misread_share: float = 0.25, least_posterior: float = 0.1
+) -> tuple[DataFrame, DataFrame]:
     """Damage ``(chunk_id, noise_type, fixed_text)`` and readable texts ``(chunk_id, repaired)`` of chunks from scanned files.
 
     A reading with misread places set right is taken if the corpus has it ``least_count`` times and ``ratio`` times as
-    often as the word as it stands. A broken word gets the reading, with or without its own hyphen, that the corpus has
-    most often, and is closed up if it has none. Null and empty texts, and files without signs of scanning, give no
-    rows; rows delivered twice count once; an empty table gives empty results.
+    often as the word as it stands, and two places or ``misread_share`` of its characters are misread at most. A broken
+    word gets the reading, with or without its own hyphen, that the corpus has most often, and is closed up if it has none.
+    Null and empty texts, and files scanned with a posterior below ``least_posterior``, give no rows (it is low, since
+    lines and words are still judged each for itself); rows delivered twice count once; an
+    empty table gives empty results. The mixture over files is fitted on at most ``sample_files`` files, the line model on
+    at most ``sample_rows`` chunks.
     """
     spark = chunks.sparkSession
     rows = chunks.filter(F.length("chunk_text") > 0).select("chunk_id", "source_file", "chunk_text", F.get("section_path", F.lit(0)).alias("title"), "heading_text")
     signs = materialize(corpus_signs(rows), "corpus-signs")
-    files = signs.filter("not is_word and heads = 0 and n > 0").select(F.col("key").alias("source_file"))
+    counted = signs.filter("not is_word").select(F.col("key").alias("source_file"), "n", *SIGNS)
+    sampled = bounded_sample(counted, "source_file", sample_files)
+    odds, prior = fit_scanned(np.array([[r["n"], *(r[s] for s in SIGNS)] for r in sampled]).reshape(-1, 1 + len(SIGNS)))
+    score = F.lit(prior)
+    for j, sign in enumerate(SIGNS):
+        score = score + F.col(sign) * float(odds[0, j]) + (F.col("n") - F.col(sign)) * float(odds[1, j])
+    files = counted.filter(score > float(np.log(least_posterior / (1 - least_posterior)))).select("source_file")
     files = F.broadcast(files) if files.count() <= FEW_FILES else files
     pages = materialize(rows.join(files, "source_file", "left_semi").dropDuplicates(["chunk_id"]), "scanned-chunks")
 
@@ -294,20 +337,35 @@ def scanned_repair(chunks: DataFrame, sample_rows: int = 1500, least_count: int
     found = materialize(pages.mapInArrow(items, "chunk_id string, kind string, key string").distinct(), "scanned-items")
     words = found.filter(F.col("kind").isin("hyphen", "char"))
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for key in b.column("key").to_pylist():
-                r = readings(key)
-                yield pa.RecordBatch.from_arrays([pa.array([key] * len(r)), pa.array([x for x, _, _ in r]), pa.array([x for _, x, _ in r]), pa.array([c for *_, c in r], pa.int32())], ["key", "reading", "word", "cost"])
-
-    possible = words.select("key").distinct().mapInArrow(spread, "key string, reading string, word string, cost int")
+    # each word, or each way to close up a broken one, with the corpus words of the same folded form
+    plain_key = F.regexp_replace("key", f"^{START}", "")
+    bases = F.when(F.contains("key", F.lit("\x01")), F.array(F.replace("key", F.lit("\x01"), F.lit("")), F.replace("key", F.lit("\x01"), F.lit("-")))).otherwise(F.array(plain_key))
+    keys = words.select("key").distinct().select("key", F.startswith("key", F.lit(START)).alias("start"), F.explode(bases).alias("base"))
+    keys = materialize(keys.withColumn("form", folded(F.col("base"))), "scanned-words")
     lexicon = signs.filter("is_word").select(F.col("key").alias("word"), "n")
-    known = possible.join(lexicon, "word")
+    possible = keys.join(lexicon.filter(F.col("n") >= least_count).withColumn("form", folded(F.col("word"))), "form").filter("word <> base")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for key, start, base, word, n in zip(*(b.column(c).to_pylist() for c in ("key", "start", "base", "word", "n")), strict=True):
+                cost = misreads(base, word, start)
+                if cost:
+                    out.append((key, word, cost, n))
+                capital = word[0].upper() + word[1:]
+                if capital != word and (cost := misreads(base, capital, start)):  # the corpus knows it with a small letter
+                    out.append((key, capital, cost + 1, n))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate((pa.string(), pa.string(), pa.int32(), pa.int64()))], ["key", "reading", "cost", "n"])
+
+    known = possible.select("key", "start", "base", "word", "n").mapInArrow(read, "key string, reading string, cost int, n bigint")
+    known = known.filter(F.col("cost") <= F.greatest(F.lit(3), F.length("reading") * misread_share))
     best = Window.partitionBy("key").orderBy(F.desc("score"), "cost", "reading")
     # each misread place set right divides the count of a reading by a hundred
     ranked = known.withColumn("score", F.col("n") / F.pow(F.lit(100.0), F.greatest(F.col("cost") - 1, F.lit(0))))
-    plain = known.filter("cost = 0").groupBy("key").agg(F.max("n").alias("plain"), F.max_by("reading", F.struct("n", "reading")).alias("as_is"))
-    mended = ranked.filter("cost > 0").withColumn("rn", F.row_number().over(best)).filter("rn = 1").select("key", "reading", "n")
+    mended = ranked.withColumn("rn", F.row_number().over(best)).filter("rn = 1").select("key", "reading", "n")
+    small = F.concat(F.lower(F.substring("base", 1, 1)), F.substring("base", 2, F.length("base")))
+    as_it_is = keys.select("key", F.col("base").alias("reading"), F.explode(F.array_distinct(F.array(F.col("base"), small))).alias("word")).join(lexicon, "word")
+    plain = as_it_is.groupBy("key").agg(F.max("n").alias("plain"), F.max_by("reading", F.struct("n", "reading")).alias("as_is"))
     chosen = (
         words.select("kind", "key")
         .distinct()
