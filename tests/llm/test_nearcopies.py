@@ -47,7 +47,7 @@ def test_recursion_splits_large_buckets(spark):
     sets = nearcopies.shingled(d, "chunk_id", "chunk_text", 3, 25).cache()
     ids = {r.cls: r._id for r in sets.collect()}
     for depth in (1, 6):  # with one level the large buckets are compared in blocks
-        got = {tuple(sorted((ids[r.a], ids[r.b]))) for r in nearcopies.class_pairs(sets, 0.6, rare=1e9, bucket_limit=3, max_depth=depth).collect()}
+        got = {tuple(sorted((ids[r.a], ids[r.b]))) for r in nearcopies.class_pairs(sets, 0.6, bucket_limit=3, max_depth=depth).collect()}
         want = {p for p in brute(texts, 0.6, 3, 25) if p[0] in ids.values() and p[1] in ids.values()}
         assert got <= want and len(got) >= 0.97 * len(want)
 
@@ -89,3 +89,23 @@ def test_hot_group_with_own_edits(spark):
             if common / (116 - common) >= 0.6:
                 want.add((a, b))
     assert len(want) > 100_000 and got <= want and len(got) >= 0.995 * len(want)
+
+
+def test_runs_are_repeated_until_the_target(spark):
+    texts = corpus(150, 7)
+    d = spark.createDataFrame(list(texts.items()), SCHEMA)
+    want = brute(texts, 0.6, 3, 25)
+    sets = nearcopies.shingled(d, "chunk_id", "chunk_text", 3, 25, 1).cache()
+    ids = {r.cls: r._id for r in sets.collect()}
+    got = nearcopies.class_pairs(sets, 0.6, 0.99, first_runs=1, more_runs=1).collect()  # one run finds about J of the pairs
+    pairs = {tuple(sorted((ids[r.a], ids[r.b]))) for r in got}
+    assert max(r.runs for r in got) >= 3 and len(got) == len(pairs) and len(pairs & want) >= 0.97 * len(want)
+    assert nearcopies.runs_for(0.6, 0.999) == 8 and nearcopies.runs_for(0.8, 0.999) < 8
+
+
+def test_copies_of_one_text_go_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(nearcopies, "BLOCK", 7)
+    members = spark.createDataFrame([(f"m{i:02d}", 1) for i in range(40)] + [("n0", 2), ("n1", 3)], "chunk_id string, cls bigint")
+    pairs = spark.createDataFrame([(1, 2, 0.9)], "a bigint, b bigint, similarity double")
+    got = [tuple(r) for r in nearcopies.copy_pairs(members, pairs, "chunk_id").collect()]
+    assert len(got) == len(set(got)) == 40 * 39 // 2 + 40 and all(a < b for a, b in got)
