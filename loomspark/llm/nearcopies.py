@@ -379,8 +379,8 @@ def class_pairs(
         found, first, total = materialize(near, "class-pairs"), False, total + len(runs)
         # how many pairs no run found, from those that one and two runs found (Chao's estimate)
         n, one, two = found.agg(F.count("*"), F.sum((F.col("runs") == 1).cast("int")), F.sum((F.col("runs") == 2).cast("int"))).first()
-        missed = 0.0 if total < 2 or not n else (total - 1) / total * one * (one - 1) / (2 * (two + 1))
-        if not n or n >= target_recall * (n + missed):
+        missed = (total - 1) / total * one * (one - 1) / (2 * (two + 1)) if n else 0.0
+        if total >= 2 and n >= target_recall * (n + missed):
             return found
         runs = list(range(total, total + more_runs))
 
