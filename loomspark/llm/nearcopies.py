@@ -30,7 +30,7 @@ from loomspark.session import materialize
 
 _WORD = re.compile(r"[^\W_]+")
 BROADCAST_ROWS = 100_000  # rows of two numbers (under 2 MB) that may be broadcast; more are joined by a shuffle
-BLOCK = 2000  # rows of a bucket or members of a class that one group holds
+BLOCK = 5000  # rows of a bucket or members of a class that one group holds
 SKETCH = ("s0", "s1", "s2", "s3")  # a set's sketch, 64 bits each
 DENSE = 0.05  # a bucket with this part of near pairs is compared as a whole: splitting could save no more than the rest
 _A, _B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
