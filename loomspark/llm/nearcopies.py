@@ -69,31 +69,41 @@ def shingled(texts: DataFrame, id_col: str, text_col: str, shingle: int = 5, min
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[str, int] = {}
-        for b in batches:
-            keep, cls, sizes, sets, full = [], [], [0], [], [0]
-            whole = []
-            for i, t in enumerate(b.column("_text").to_pylist()):
-                h = word_hashes(t, memo) if t else []
-                if len(h) < max(min_words, shingle):
+        salts, least = _salts(range(runs)), max(min_words, shingle)
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 2000):
+                b = whole.slice(lo, 2000)
+                keep, words, ends = [], [], [0]
+                for i, t in enumerate(b.column("_text").to_pylist()):
+                    h = word_hashes(t, memo) if t else []
+                    if len(h) >= least:
+                        keep.append(i)
+                        words += h
+                        ends.append(len(words))
+                if not keep:
                     continue
-                h = np.array(h, np.uint64)
+                h = np.array(words, np.uint64)
                 s = h[: len(h) - shingle + 1]
                 for k in range(1, shingle):
                     s = _mix(s) + h[k : len(h) - shingle + 1 + k]
-                s = np.unique(_mix(s))
-                keep.append(i)
-                cls.append(int((_mix(s) + np.uint64(len(s))).sum(dtype=np.uint64).view(np.int64)))
-                whole.append(s)
-                full.append(len(s))
-                sets.append(np.unique((s >> np.uint64(32)).astype(np.uint32)))
-                sizes.append(len(sets[-1]))
-            flat32 = np.concatenate(sets) if sets else np.empty(0, np.uint32)
-            starts = np.cumsum(sizes)
-            tokens = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(flat32.view(np.int32), pa.int32()))
-            paths = _chosen(np.concatenate(whole), np.cumsum(full), _salts(range(runs))) if whole else np.empty((0, runs), np.int64)
-            paths = pa.ListArray.from_arrays(pa.array(np.arange(len(keep) + 1) * runs, pa.int32()), pa.array(paths.ravel()))
-            cols = [b.column("_id").take(pa.array(keep, pa.int32())), pa.array(cls, pa.int64()), pa.array(sizes[1:], pa.int32()), tokens, *map(pa.array, _sketches(flat32, starts)), paths]
-            yield pa.RecordBatch.from_arrays(cols, ["_id", "cls", "n", "tokens", *SKETCH, "paths"])
+                # sequences that begin in the last words of a text would reach into the next one
+                size = np.diff(ends) - shingle + 1
+                owner = np.repeat(np.arange(len(keep)), size)
+                s = _mix(s[np.arange(len(owner)) + (owner * (shingle - 1))])
+                order = np.lexsort((s, owner))
+                s, owner = s[order], owner[order]
+                first = np.concatenate([[True], (s[1:] != s[:-1]) | (owner[1:] != owner[:-1])])
+                s, owner = s[first], owner[first]
+                starts = np.searchsorted(owner, np.arange(len(keep) + 1))
+                cls = np.add.reduceat(_mix(s), starts[:-1]) + np.diff(starts).astype(np.uint64)
+                paths = pa.ListArray.from_arrays(pa.array(np.arange(len(keep) + 1) * runs, pa.int32()), pa.array(_chosen(s, starts, salts).ravel()))
+                t = (s >> np.uint64(32)).astype(np.uint32)
+                first = np.concatenate([[True], (t[1:] != t[:-1]) | (owner[1:] != owner[:-1])])
+                t, owner = t[first], owner[first]
+                starts = np.searchsorted(owner, np.arange(len(keep) + 1))
+                tokens = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(t.view(np.int32)))
+                cols = [b.column("_id").take(pa.array(keep, pa.int32())), pa.array(cls.view(np.int64)), pa.array(np.diff(starts).astype(np.int32)), tokens, *map(pa.array, _sketches(t, starts)), paths]
+                yield pa.RecordBatch.from_arrays(cols, ["_id", "cls", "n", "tokens", *SKETCH, "paths"])
 
     base = texts.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     return base.mapInArrow(run, f"_id {kind}, cls bigint, n int, tokens array<int>, {_SKETCHED}, paths array<bigint>")
@@ -120,15 +130,24 @@ def _chosen(tokens: np.ndarray, starts: np.ndarray, salts: np.ndarray) -> np.nda
     return _mix(out + salts).view(np.int64)
 
 
+#: The bits of each byte as eight counters of 16 bits.
+_LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.uint16).view(np.uint64)
+
+
 def _sketches(tokens: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
     """The 64-bit sketches of each set: signs of sums of random signs over the tokens."""
     out = []
     for salt in map(np.uint64, (0x1234567, 0x89ABCDE, 0x2F0E1EB9, 0x6A09E667)):
         parts = []
-        for lo in range(0, len(starts) - 1, 4096):
-            at = starts[lo : lo + 4097]
-            bits = np.unpackbits(_mix(tokens[at[0] : at[-1]].astype(np.uint64) * _B + salt).view(np.uint8).reshape(-1, 8), axis=1)
-            sums = np.add.reduceat(bits, at[:-1] - at[0], axis=0, dtype=np.int16) if len(bits) else np.zeros((0, 64), np.int16)
+        for lo in range(0, len(starts) - 1, 512):  # so few that the bits stay in a core's cache
+            at = starts[lo : lo + 513]
+            signs = _mix(tokens[at[0] : at[-1]].astype(np.uint64) * _B + salt).view(np.uint8).reshape(-1, 8)
+            if not len(signs):
+                sums = np.zeros((0, 64), np.int16)
+            elif np.diff(at).max() < 1 << 16:  # four counters of 16 bits in one number
+                sums = np.add.reduceat(_LANES[signs].reshape(len(signs), 16), at[:-1] - at[0], axis=0).view(np.uint16).astype(np.int32)
+            else:
+                sums = np.add.reduceat(np.unpackbits(signs, axis=1), at[:-1] - at[0], axis=0, dtype=np.int64)
             parts.append(np.packbits(2 * sums >= np.diff(at)[:, None], axis=1).view(np.int64).ravel())
         out.append(np.concatenate(parts) if parts else np.empty(0, np.int64))
     return out
