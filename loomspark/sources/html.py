@@ -84,4 +84,5 @@ def to_markdown(html: Column) -> Column:
     parts = F.split(html, _PRE, -1)  # uneven parts are preformatted
     flowing = lambda p: F.regexp_replace(F.regexp_replace(_tables(p), r"[ \t]+(?=\n)", ""), r"\n{3,}", "\n\n")
     whole = F.array_join(F.transform(parts, lambda p, i: F.when(i % 2 == 1, F.concat(F.lit("```\n"), F.regexp_replace(p, r"^\n+|\s+$", ""), F.lit("\n```"))).otherwise(flowing(p))), "")
-    return strip(unescaped(whole))
+    # as an element of an array, so that the chain isn't computed again for each use of its result
+    return strip(F.get(F.transform(F.array(whole), unescaped), F.lit(0)))
