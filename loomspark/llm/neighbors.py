@@ -7,7 +7,9 @@ the cell of the nearest first codeword; a query visits the cells of its nearest
 cosine of s scores about s times the cosine of x and its code, with a deviation of sqrt((1 - s^2) / dimensions). All
 that score above that less three deviations are ranked again by exact cosines in double precision.
 
-Cells are split into blocks of bounded expected size for vectors and for queries; each pair of blocks is one group.
+Cells are split into blocks of vectors and of queries by their counted rows; each pair of blocks is one group. A group's
+vectors are held, its queries stream past them in Arrow batches, so that blocks of queries can be large and few, and with
+them the copies of each vector.
 
 Without a least similarity neighbours may lie in any cell, and codes tell them apart too badly to leave any vector out:
 then every block of queries goes past all vectors (``all_nearest``), which is exact and grows with the square of the rows.
@@ -18,7 +20,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -134,47 +135,58 @@ def fit(x: np.ndarray, first: int = 64, others: int = 4, words: int = 256, seed:
     return q
 
 
-def exact_top(q_ids: np.ndarray, q: np.ndarray, d_ids: np.ndarray, d: np.ndarray, codes: np.ndarray, inverse: np.ndarray, model: Quantizer, k: int, least: float) -> pd.DataFrame:
-    """(query, neighbour, cosine) of the k best vectors of a block for each query of a block; ``d_ids`` is sorted."""
-    q64, d64 = unit(q.astype(np.float64)), unit(d.astype(np.float64))
-    q32, d32 = q64.astype(np.float32), d64.astype(np.float32)
-    at = np.searchsorted(d_ids, q_ids)
-    own = np.where((at < len(d_ids)) & (d_ids[np.minimum(at, len(d_ids) - 1)] == q_ids), at, -1)
-    near = np.zeros_like(d32)
-    for book, code in zip(model.books, codes.T, strict=True):
-        near += book[code]
-    spread = 3 * np.sqrt(max(0.0, 1 - least * least) / d.shape[1])
-    bound = ((least * (near * d32).sum(1) * inverse - spread) / inverse).astype(np.float32)
-    found = []
-    for lo in range(0, len(q), 256):
-        qs, own_s = q32[lo : lo + 256], own[lo : lo + 256]
-        keep = model.above(qs, codes, bound)  # (vector, query)
-        cols = np.flatnonzero(own_s >= 0)
-        keep[own_s[cols], cols] = False
-        if np.count_nonzero(keep) > 0.03 * keep.size:  # many to rank again: first by one matrix product in single precision
-            e = d32 @ qs.T
-            keep &= e >= least - 1e-5
-            j, i = np.nonzero(keep)
-            v = e[j, i]
-            order = np.lexsort((-v, i))
-            j, i, v = j[order], i[order], v[order]
-            first = np.searchsorted(i, i)
-            last = np.minimum(first + k - 1, np.searchsorted(i, i, side="right") - 1)
-            close = v >= v[last] - 3e-6
-            j, i = j[close], i[close]
-        else:
-            j, i = np.nonzero(keep)
-        cos = np.concatenate([np.einsum("ij,ij->i", d64[j[x : x + 50_000]], q64[i[x : x + 50_000] + lo]) for x in range(0, len(j), 50_000)] or [np.empty(0)])
-        cos = np.round(cos, 6)
-        fine = cos >= least
-        i, j, cos = i[fine], j[fine], cos[fine]
-        order = np.lexsort((j, -cos, i))  # ids are sorted, so places break ties
-        i, j, cos = i[order], j[order], cos[order]
-        rank = np.arange(len(i)) - np.searchsorted(i, i)
-        best = rank < k
-        found.append((i[best] + lo, j[best], cos[best]))
-    i, j, cos = (np.concatenate(x) for x in zip(*found, strict=True))
-    return pd.DataFrame({"_id": q_ids[i], "neighbor": d_ids[j], "similarity": cos})
+class Block:
+    """The vectors of a block in the order of their ids, ready for queries."""
+
+    def __init__(self, ids: np.ndarray, vec: np.ndarray, codes: np.ndarray, inverse: np.ndarray, model: Quantizer, least: float):
+        self.ids, self.vec, self.codes, self.model, self.least = ids, vec, codes, model, least
+        self.d32 = unit(vec.astype(np.float64)).astype(np.float32)
+        near = np.zeros_like(self.d32)
+        for book, code in zip(model.books, codes.T, strict=True):
+            near += book[code]
+        spread = 3 * np.sqrt(max(0.0, 1 - least * least) / vec.shape[1])
+        self.bound = ((least * (near * self.d32).sum(1) * inverse - spread) / inverse).astype(np.float32)
+
+    def top(self, q_ids: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query's place, vector's place, cosine) of the k best vectors for each query."""
+        ids, codes, least, d32 = self.ids, self.codes, self.least, self.d32
+        at = np.searchsorted(ids, q_ids)
+        own = np.where((at < len(ids)) & (ids[np.minimum(at, len(ids) - 1)] == q_ids), at, -1)
+        found = []
+        stride = max(32, min(256, 2**24 // len(ids)))
+        for lo in range(0, len(q), stride):
+            q64, own_s = unit(q[lo : lo + stride].astype(np.float64)), own[lo : lo + stride]
+            qs = q64.astype(np.float32)
+            keep = self.model.above(qs, codes, self.bound)  # (vector, query)
+            cols = np.flatnonzero(own_s >= 0)
+            keep[own_s[cols], cols] = False
+            if np.count_nonzero(keep) > 0.03 * keep.size:  # many to rank again: first by one matrix product in single precision
+                e = d32 @ qs.T
+                keep &= e >= least - 1e-5
+                j, i = np.nonzero(keep)
+                v = e[j, i]
+                order = np.lexsort((-v, i))
+                j, i, v = j[order], i[order], v[order]
+                first = np.searchsorted(i, i)
+                last = np.minimum(first + k - 1, np.searchsorted(i, i, side="right") - 1)
+                close = v >= v[last] - 3e-6
+                j, i = j[close], i[close]
+            else:
+                j, i = np.nonzero(keep)
+            cos = np.concatenate([np.einsum("ij,ij->i", unit(self.vec[j[x : x + 50_000]].astype(np.float64)), q64[i[x : x + 50_000]]) for x in range(0, len(j), 50_000)] or [np.empty(0)])
+            cos = np.round(cos, 6)
+            fine = cos >= least
+            i, j, cos = i[fine], j[fine], cos[fine]
+            order = np.lexsort((j, -cos, i))  # ids are sorted, so places break ties
+            i, j, cos = i[order], j[order], cos[order]
+            best = np.arange(len(i)) - np.searchsorted(i, i) < k
+            found.append((i[best] + lo, j[best], cos[best]))
+        i, j, cos = (np.concatenate(x) for x in zip(*found, strict=True))
+        return i, j, cos
+
+
+#: What a placed row is: a vector, a vector and a query of its own cell, a query of its own cell, a query from another cell.
+VECTOR, BOTH, HOME, VISITOR = 1, 2, 3, 4
 
 
 def all_nearest(usable: DataFrame, dim: int, n_rows: int, k: int, block_rows: int = 8192, stride: int = 4096) -> DataFrame:
@@ -270,7 +282,8 @@ def nearest(
     probes: int = 3,
     probe_margin: float = 0.06,
     sample_rows: int = 6144,
-    block_rows: int = 50_000,
+    block_rows: int = 200_000,
+    query_rows: int = 1_000_000,
     seed: int = 7,
 ) -> DataFrame:
     """``(id, neighbor, similarity, rank)``: the k most similar vectors of every usable vector, similarity rounded to 6 decimals.
@@ -278,7 +291,8 @@ def nearest(
     A vector is usable if it isn't null, has the most common length, only finite numbers and not only zeros. Ids
     delivered twice count once, an id isn't its own neighbour, and of equal similarities the smaller id comes first.
     Neighbours below ``min_similarity`` are left out; if it is None every vector gets its k neighbours. An empty table gives an empty result. The codebooks are fitted on
-    ``sample_rows`` vectors; all are indexed and all are queries. The number of cells grows with the root of the rows.
+    ``sample_rows`` vectors; all are indexed and all are queries. The number of cells grows with the root of the rows; cells
+    with more than ``block_rows`` vectors or ``query_rows`` queries are split into blocks, by their counts over all rows.
     """
     spark = vectors.sparkSession
     out_schema = "_id string, neighbor string, similarity double"
@@ -318,12 +332,24 @@ def nearest(
         return spark.createDataFrame([], out_schema + ", rank int").withColumnRenamed("_id", id_col)
     x = unit(np.array([r["_v"] for r in sample], np.float64)).astype(np.float32)
     model = fit(x, first=int(min(4096, max(32, n_rows**0.5 / 15))), seed=seed)
-    # blocks for each cell from the sample's shares
-    order, close = _visits(model, x, probes, probe_margin)
-    share = lambda cells: np.bincount(cells, minlength=len(model.books[0])) * (n_rows / len(x))
-    d_blocks = np.maximum(1, np.ceil(share(order[:, 0]) / block_rows)).astype(np.int64)
-    q_blocks = np.maximum(1, np.ceil(share(order[close]) / block_rows)).astype(np.int64)
-    ship = spark.sparkContext.broadcast((model, d_blocks, q_blocks))  # codebooks: a fixed size
+    few = spark.sparkContext.broadcast(model)  # codebooks: a fixed size
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = len(few.value.books[0])
+        own, asked = np.zeros(cells, np.int64), np.zeros(cells, np.int64)
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 2048):
+                order, close = _visits(few.value, _units(whole.slice(lo, 2048), dim)[1], probes, probe_margin)
+                own += np.bincount(order[:, 0], minlength=cells)
+                asked += np.bincount(order[close], minlength=cells)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(cells, dtype=np.int32)), pa.array(own), pa.array(asked)], ["cell", "own", "asked"])
+
+    # one row a cell, at most 4,096
+    sizes = usable.select("_v").mapInArrow(count, "cell int, own long, asked long").groupBy("cell").agg(F.sum("own").alias("own"), F.sum("asked").alias("asked")).collect()
+    d_blocks, q_blocks = np.ones(len(model.books[0]), np.int64), np.ones(len(model.books[0]), np.int64)
+    for r in sizes:
+        d_blocks[r.cell], q_blocks[r.cell] = max(1, -(-r.own // block_rows)), max(1, -(-r.asked // query_rows))
+    ship = spark.sparkContext.broadcast((model, d_blocks, q_blocks))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, nd, nq = ship.value
@@ -334,8 +360,7 @@ def nearest(
                 b = whole.slice(lo, 2048)
                 if not b.num_rows:
                     continue
-                raw = b.column("_v").flatten().to_numpy().astype(np.float32).reshape(-1, dim)
-                v = unit(raw.astype(np.float64)).astype(np.float32)
+                raw, v = _units(b, dim)
                 codes, near = m.encode(v)
                 inverse = (1 / np.maximum(np.linalg.norm(near, axis=1), 1e-9)).astype(np.float32)
                 ids = b.column("_id")
@@ -345,23 +370,25 @@ def nearest(
                 cells = order[who, slot]
                 home = order[:, 0]
                 every = np.arange(len(v))
-                # (row, cell, vector block, query block, role): role 1 is a vector of the cell, 2 a query, 3 both
+                # (row, cell, vector block, query block, role)
                 one = (nd[cells] == 1) & (nq[cells] == 1)
                 both = np.zeros(len(v), bool)
                 both[who[one & (cells == home[who])]] = True
                 keep = ~(one & (cells == home[who]))
-                parts = [(every[both], home[both], 0 * home[both], 0 * home[both], np.full(both.sum(), 3))]
-                for rows, at, own, other, role in ((every[~both], home[~both], nd, nq, 1), (who[keep], cells[keep], nq, nd, 2)):
+                parts = [(every[both], home[both], 0 * home[both], 0 * home[both], np.full(both.sum(), BOTH))]
+                asks = np.where(cells == home[who], HOME, VISITOR)[keep]
+                for rows, at, own, other, role in ((every[~both], home[~both], nd, nq, np.full((~both).sum(), VECTOR)), (who[keep], cells[keep], nq, nd, asks)):
                     times = other[at]
                     r, c = np.repeat(rows, times), np.repeat(at, times)
                     across = np.arange(len(r)) - np.repeat(np.cumsum(times) - times, times)
                     mine = h[r] % own[c]
-                    parts.append((r, c, mine if role == 1 else across, across if role == 1 else mine, np.full(len(r), role)))
+                    stored = own is nd
+                    parts.append((r, c, mine if stored else across, across if stored else mine, np.repeat(role, times)))
                 r, c, db, qb, role = (np.concatenate(z) for z in zip(*parts, strict=True))
                 data = np.empty((len(r), 4 * dim), np.uint8)
                 data[:] = raw.view(np.uint8).reshape(len(raw), -1)[r]
                 vec = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * dim), len(r), [None, pa.py_buffer(data)]).cast(pa.binary())
-                stored = role != 2  # a row that is only a query needs no code
+                stored = role <= BOTH  # a row that is only a query needs no code
                 code = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * codes.shape[1]), len(r), [None, pa.py_buffer(np.ascontiguousarray(codes[r].astype(np.uint16)))]).cast(pa.binary())
                 code = pc.if_else(pa.array(stored), code, pa.scalar(None, pa.binary()))
                 yield pa.RecordBatch.from_arrays(
@@ -369,30 +396,67 @@ def nearest(
                     ["cell", "db", "qb", "role", "_id", "vec", "code", "inv"],
                 )
 
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = ship.value[0]
-        pdf = pdf.sort_values("_id", kind="stable")
-        role = pdf["role"].to_numpy()
-        vec = np.frombuffer(b"".join(pdf["vec"]), np.float32).reshape(-1, dim)
-        ids = pdf["_id"].to_numpy()
-        d, q = np.flatnonzero(role & 1), np.flatnonzero(role & 2)
-        first = lambda at: at[np.concatenate([[True], ids[at][1:] != ids[at][:-1]])] if len(at) else at
-        d, q = first(d), first(q)
-        if not len(d) or not len(q):
-            return pd.DataFrame({"_id": [], "neighbor": [], "similarity": []})
-        codes = np.frombuffer(b"".join(pdf["code"].iloc[d]), np.uint16).reshape(len(d), -1)
-        found = exact_top(ids[q], vec[q], ids[d], vec[d], codes, pdf["inv"].to_numpy()[d], m, k, min_similarity)
-        # a visitor's pair counts for the other side too, which may not visit the visitor's cell
-        visitors = found[found["_id"].isin(ids[q][role[q] == 2])]
-        return pd.concat([found, visitors.rename(columns={"_id": "neighbor", "neighbor": "_id"})[found.columns]], ignore_index=True)
+
+        def rows(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+            return b.column("_id").to_numpy(zero_copy_only=False), np.frombuffer(b"".join(b.column("vec").to_pylist()), np.float32).reshape(-1, dim)
+
+        def block(parts: list[pa.RecordBatch]) -> Block:
+            b = pa.Table.from_batches(parts).combine_chunks().to_batches(max_chunksize=2**31 - 1)[0]
+            ids, vec = rows(b)
+            once = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))  # sorted: an id delivered twice counts once
+            codes = np.frombuffer(b"".join(b.column("code").to_pylist()), np.uint16).reshape(len(ids), -1)
+            return Block(ids[once], vec[once], codes[once], b.column("inv").to_numpy(zero_copy_only=False)[once], m, min_similarity)
+
+        def answer(held: Block, ids: np.ndarray, vec: np.ndarray, back: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+            for lo in range(0, len(ids), 4096):
+                i, j, cos = held.top(ids[lo : lo + 4096], vec[lo : lo + 4096], k)
+                a, b, c = ids[i + lo], held.ids[j], cos
+                if back is not None:  # a visitor's pair counts for the other side too, which may not visit the visitor's cell
+                    turned = back[i + lo]
+                    a, b, c = np.concatenate([a, b[turned]]), np.concatenate([b, a[turned]]), np.concatenate([c, c[turned]])
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(c)], ["_id", "neighbor", "similarity"])
+
+        key, parts, held = None, [], None
+        # sorted by group, then vectors before queries
+        for whole in batches:
+            marks = np.stack([whole.column(c).to_numpy() for c in ("cell", "db", "qb")], axis=1)
+            role = whole.column("role").to_numpy()
+            cuts = np.flatnonzero((marks[1:] != marks[:-1]).any(1) | ((role[1:] > BOTH) != (role[:-1] > BOTH))) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(role)], strict=True):
+                if hi == lo:
+                    continue
+                if tuple(marks[lo]) != key:
+                    if parts and parts[0].column("role")[0].as_py() == BOTH:
+                        held = held or block(parts)
+                        yield from answer(held, held.ids, held.vec, None)
+                    key, parts, held = tuple(marks[lo]), [], None
+                b = whole.slice(lo, hi - lo)
+                if role[lo] <= BOTH:
+                    parts.append(b)
+                elif parts:
+                    if held is None:
+                        held, parts = block(parts), parts[:1]
+                    yield from answer(held, *rows(b), role[lo:hi] == VISITOR)
+        if parts and parts[0].column("role")[0].as_py() == BOTH:
+            held = held or block(parts)
+            yield from answer(held, held.ids, held.vec, None)
 
     placed = usable.mapInArrow(place, "cell int, db int, qb int, role tinyint, _id string, vec binary, code binary, inv float")
-    found = placed.groupBy("cell", "db", "qb").applyInPandas(search, out_schema)
+    found = placed.repartition("cell", "db", "qb").sortWithinPartitions("cell", "db", "qb", "role", "_id").mapInArrow(search, out_schema)
     best = Window.partitionBy("_id").orderBy(F.desc("similarity"), "neighbor")
     ranked = found.withColumn("rank", F.dense_rank().over(best)).filter(F.col("rank") <= k)  # a pair that came twice has one rank
     return whole(ranked.dropDuplicates(["_id", "neighbor"]))
 
 
+def _units(b: pa.RecordBatch, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors of a batch as they stand and with length one."""
+    raw = b.column("_v").flatten().to_numpy().astype(np.float32).reshape(-1, dim)
+    return raw, unit(raw.astype(np.float64)).astype(np.float32)
+
+
 def _visits(model: Quantizer, v: np.ndarray, probes: int, margin: float) -> tuple[np.ndarray, np.ndarray]:
     """The first codewords nearest to each vector, nearest first, and which of them it visits as a query."""
     book = model.books[0]

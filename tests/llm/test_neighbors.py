@@ -44,8 +44,9 @@ def test_blocks_give_the_same(spark):
     rng = np.random.default_rng(2)
     d = spark.createDataFrame([(f"v{i:03d}", [float(f) for f in rng.normal(size=8)]) for i in range(300)], SCHEMA)
     a = {tuple(r) for r in neighbors.nearest(d, k=5, min_similarity=0.5, probes=40, probe_margin=9).collect()}
-    b = {tuple(r) for r in neighbors.nearest(d, k=5, min_similarity=0.5, probes=40, probe_margin=9, block_rows=7).collect()}
-    assert a == b and a
+    b = {tuple(r) for r in neighbors.nearest(d, k=5, min_similarity=0.5, probes=40, probe_margin=9, block_rows=7, query_rows=20).collect()}
+    c = {tuple(r) for r in neighbors.nearest(d.union(d), k=5, min_similarity=0.5, probes=40, probe_margin=9, block_rows=7, query_rows=10**6).collect()}
+    assert a == b == c and a
 
 
 def test_empty(spark):
