@@ -173,6 +173,8 @@ class Block:
                 j, i = j[close], i[close]
             else:
                 j, i = np.nonzero(keep)
+                near = np.concatenate([np.einsum("ij,ij->i", d32[j[x : x + 50_000]], qs[i[x : x + 50_000]]) for x in range(0, len(j), 50_000)] or [np.empty(0)]) >= least - 1e-5
+                j, i = j[near], i[near]
             cos = np.concatenate([np.einsum("ij,ij->i", unit(self.vec[j[x : x + 50_000]].astype(np.float64)), q64[i[x : x + 50_000]]) for x in range(0, len(j), 50_000)] or [np.empty(0)])
             cos = np.round(cos, 6)
             fine = cos >= least
