@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from loomspark.functions.lexicon import MODEL_DIMENSIONS
 from loomspark.operators import chunking, enrich, incremental, markdown, metadata, reflow, store, vector
 from loomspark.plans.oracle import ORACLES as ORACLES
-from loomspark.session import materialize, shared_folder, table
+from loomspark.session import materialize, shared_folder, spread, table
 from loomspark.sources import files, html, structured
 from loomspark.streaming.incremental import windowed_counts
 
@@ -29,7 +29,7 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 
 
 def docs(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents")
+    return spread(table(spark, d, "documents"))
 
 
 def chunk_rows(spark: SparkSession, d: str) -> DataFrame:

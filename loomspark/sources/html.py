@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loomspark.functions.text import strip
+from loomspark.functions.text import LINES, WS, strip
+from loomspark.operators.markdown import render_table
 
-_PRE, _CELL = "\x01", "\x02"
+#: Marks of preformatted text, cells, and the begin, end and borders of table rows; signs of this kind in a page are dropped.
+_PRE, _CELL, _OPEN, _CLOSE, _NEXT = "\x01", "\x02", "\x03", "\x04", "\x05"
 #: (pattern, replacement), in order. Names end at a word border, so that head isn't header and p isn't pre; an end tag has the name of its start tag.
 STEPS = [
+    ("[\x01-\x05]", ""),
     ("\r\n?", "\n"),
     (r"(?is)<!--.*?-->|<!doctype[^>]*>", ""),
     *((rf"(?is)<{name}\b[^>]*>.*?</{name}\s*>", "") for name in ("script", "style", "head", "template", "noscript")),
@@ -38,23 +41,14 @@ ENTITIES = {
 
 
 def _tables(text: Column) -> Column:
-    """Runs of cell rows as pipe tables: the first row is the head, short rows are padded."""
-    rows = F.split(text, "\n", -1)
-    is_row = lambda x: F.startswith(x, F.lit(_CELL))
-    cells = lambda x: F.transform(F.split(F.regexp_replace(x, f"^{_CELL} ?| ?{_CELL}$", ""), f" ?{_CELL} ?", -1), strip)
-    line = lambda xs: F.concat(F.lit("| "), F.array_join(xs, " | "), F.lit(" |"))
-    zero = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).alias("width"))
-
-    def step(st: Column, x: Column) -> Column:
-        own = cells(x)
-        first = st["width"] == 0
-        padded = F.concat(own, F.array_repeat(F.lit(""), F.greatest(st["width"] - F.size(own), F.lit(0))))
-        added = F.when(~is_row(x), F.array(x)).when(first, F.array(F.lit(""), line(own), line(F.transform(own, lambda _: F.lit("---"))))).otherwise(F.array(line(padded)))
-        blank_inside = ~first & (strip(x) == "")  # blank lines between rows belong to the source, not to the table
-        added = F.when(blank_inside, F.array().cast("array<string>")).when(~is_row(x) & ~first, F.concat(F.array(F.lit("")), added)).otherwise(added)
-        return F.struct(F.concat(st["out"], added).alias("out"), F.when(is_row(x), F.when(first, F.size(own)).otherwise(st["width"])).when(blank_inside, st["width"]).otherwise(F.lit(0)).alias("width"))
-
-    return F.when(F.contains(text, F.lit(_CELL)), F.array_join(F.aggregate(rows, zero, step, lambda st: F.when(st["width"] > 0, F.concat(st["out"], F.array(F.lit(""), F.lit("")))).otherwise(st["out"])), "\n")).otherwise(text)
+    """Runs of cell rows as pipe tables: the first row is the head, short rows are padded. Blank lines between rows belong to the source, not to the table."""
+    marked = F.regexp_replace(text, f"{LINES}^{_CELL}([^\n]*)$", f"{_OPEN}$1{_CLOSE}")
+    marked = F.regexp_replace(F.regexp_replace(marked, f"{_CLOSE}{WS}*{_OPEN}", _NEXT), f"{_CLOSE}{WS}*(?=\n)", _CLOSE)
+    cells = lambda x: F.transform(F.split(F.regexp_replace(x, f"^ | ?{_CELL}$", ""), f" ?{_CELL} ?", -1), strip)
+    # uneven parts are tables
+    parts = F.transform(F.split(marked, f"[{_OPEN}{_CLOSE}]", -1), lambda p, i: F.struct(p.alias("p"), F.when(i % 2 == 1, F.transform(F.split(p, _NEXT, -1), cells)).alias("rows")))
+    shown = lambda r: F.concat(F.lit("\n"), render_table(F.get(r, F.lit(0)), F.slice(r, 2, F.size(r))), F.lit("\n"))
+    return F.when(F.contains(text, F.lit(_CELL)), F.array_join(F.transform(parts, lambda p: F.coalesce(shown(p["rows"]), p["p"])), "")).otherwise(text)
 
 
 def unescaped(text: Column) -> Column:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from loomspark import cli
 from loomspark.operators import metadata, store
+from loomspark.session import spread
 from loomspark.sources import files, html
 from loomspark.streaming.incremental import sync_folder, watch_folder
 
@@ -157,3 +158,18 @@ def test_binary_extractors(spark, tmp_path):
         (tmp_path / name).write_bytes(data)
     got = {r.source_file: (r.content, r.error and r.error.split(":")[0]) for r in read_binary(spark, str(tmp_path), {"pdf": bytes.decode}).collect()}
     assert got == {"a.PDF": ("text", None), "b.pdf": (None, "empty result"), "c.pdf": (None, "UnicodeDecodeError")}
+
+
+def test_long_tables_and_blank_lines_between_rows(spark):
+    rows = "".join(f"<tr><td>{i}</td>\n <td></td></tr>\n\n" for i in range(3000))
+    page = f"<p>a\x03b</p><table>\n<tr><th>n</th><th>m</th><th>o</th></tr>\n{rows}</table><p>after</p><table><tr><td>x</td></tr></table>"
+    got = spark.createDataFrame([(page,), (None,), ("",)], "p string").select(html.to_markdown(F.col("p"))).collect()
+    assert got[0][0].split("\n") == ["ab", "", "| n | m | o |", "| --- | --- | --- |", *(f"| {i} |  |  |" for i in range(3000)), "", "after", "", "| x |", "| --- |"]
+    assert [r[0] for r in got[1:]] == [None, ""]
+
+
+def test_spread_keeps_rows_and_wide_scans(spark):
+    few = spark.range(0, 100, 1, 1)
+    wide = spark.range(0, 100, 1, 4 * spark.sparkContext.defaultParallelism)
+    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism or spark.sparkContext.defaultParallelism == 1
+    assert sorted(r.id for r in spread(few).collect()) == list(range(100)) and spread(wide) is wide
