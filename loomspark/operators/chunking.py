@@ -63,18 +63,23 @@ def pack(sections: DataFrame, id_col: str, max_size: int = MAX_SIZE) -> DataFram
     s = sections.withColumn("h", F.sum((F.col("element_type") == "header").cast("int")).over(by))
     item = F.struct("seq", *(c for c in names if c != "seq"), F.length("text").alias("_n"), (F.col("element_type") == "header").alias("_head"))
     blocks = s.groupBy(id_col, "h").agg(F.array_sort(F.collect_list(item)).alias("b"))
-    zero = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(0).alias("run"), F.lit(False).alias("big"))
+    # groups gather in runs of 512, so that the fold copies short arrays however many blocks a heading has
+    none = F.array().cast("array<int>")
+    zero = F.struct(F.array().cast("array<array<int>>").alias("full"), none.alias("starts"), F.lit(-1).alias("at"), F.lit(0).alias("run"), F.lit(False).alias("big"))
 
     def step(st: Column, x: Column) -> Column:
-        new = x["_head"] | (x["_n"] > max_size) | st["big"] | (st["run"] + x["_n"] > max_size) | (F.size(st["starts"]) == 0)
+        new = x["_head"] | (x["_n"] > max_size) | st["big"] | (st["run"] + x["_n"] > max_size) | (st["at"] < 0)
+        at, over = F.when(new, x["seq"]).otherwise(st["at"]), F.size(st["starts"]) >= 512
         return F.struct(
-            F.concat(st["starts"], F.array(F.when(new, x["seq"]).otherwise(F.element_at(st["starts"], -1)))).alias("starts"),
+            F.when(over, F.concat(st["full"], F.array(st["starts"]))).otherwise(st["full"]).alias("full"),
+            F.when(over, F.array(at)).otherwise(F.concat(st["starts"], F.array(at))).alias("starts"),
+            at.alias("at"),
             F.when(new, x["_n"]).otherwise(st["run"] + x["_n"]).alias("run"),
             ((x["_n"] > max_size) & ~x["_head"]).alias("big"),
         )
 
     lean = F.transform("b", lambda x: F.struct(x["seq"].alias("seq"), x["_n"].alias("_n"), x["_head"].alias("_head")))
-    marked = blocks.withColumn("starts", F.aggregate(lean, zero, step, lambda st: st["starts"]))
+    marked = blocks.withColumn("starts", F.aggregate(lean, zero, step, lambda st: F.flatten(F.concat(st["full"], F.array(st["starts"])))))
     return marked.select(id_col, F.explode(F.arrays_zip("b", "starts")).alias("r")).select(id_col, *(F.col(f"r.b.{c}").alias(c) for c in names), F.col("r.starts").alias("group"))
 
 

@@ -76,6 +76,7 @@ def model_pack(sections, size):
 def test_packer_on_random_sections(spark):
     rng = random.Random(9)
     lists = [[(rng.choice(["header", "paragraph", "list", "table"]), rng.randint(1, 60)) for _ in range(rng.randint(1, 25))] for _ in range(150)]
+    lists.append([("paragraph", rng.randint(1, 60)) for _ in range(1300)])  # longer than a run of the fold
     rows = [(d, i, "x" * n, k) for d, s in enumerate(lists) for i, (k, n) in enumerate(s)]
     p = chunking.pack(spark.createDataFrame(rows, "id int, seq int, text string, element_type string"), "id", 50)
     got = {}
