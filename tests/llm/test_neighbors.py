@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 
 from loomspark.llm import neighbors
@@ -79,3 +81,35 @@ def test_equal_vectors_and_scaled_copies(spark):
     assert {(r.chunk_id, r.neighbor) for r in neighbors.nearest(d, k=3).collect()} == want
     every = {(r.chunk_id, r.neighbor) for r in neighbors.nearest(d, k=3, min_similarity=None).collect()}
     assert {p for p in every if p[0] != "other"} == want and len([p for p in every if p[0] == "other"]) == 3
+
+
+def test_equal_vectors_in_many_groups(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = np.repeat(rng.normal(size=(20, 16)) + 1, 9, axis=0).astype(np.float32)
+    rows = [(f"g{i % 9}-{i:03d}", [float(f) for f in v]) for i, v in enumerate(x)]
+    want = brute([i for i, _ in rows], x.astype(np.float64), 3, 0.8)
+    d = spark.createDataFrame(rows + [rows[5], rows[170]] + [("hole", [None, *[1.0] * 15]), ("nan", [float("nan"), *[1.0] * 15]), ("low", [float("-inf"), *[1.0] * 15]), ("zero", [-0.0] * 16)], SCHEMA)
+    for bound in (10**6, 0):  # the later equal ids broadcast, or joined by a shuffle
+        monkeypatch.setattr(neighbors, "BROADCAST_ROWS", bound)
+        assert {(r.chunk_id, r.neighbor) for r in neighbors.nearest(d, k=3).collect()} == want
+
+
+def test_memory_of_a_block_of_like_vectors():
+    """Of a query's many like vectors only the best are listed, and a block isn't held in double precision."""
+    rng = np.random.default_rng(7)
+    x = (1 + 0.02 * rng.normal(size=(20_000, 96))).astype(np.float32)
+    model = neighbors.fit(neighbors.unit(x[:500]), first=4, words=16)
+    codes, near = model.encode(neighbors.unit(x))
+    ids = np.array([f"v{i:05d}" for i in range(len(x))], object)
+    tracemalloc.start()
+    held = neighbors.Block(ids, x, codes.astype(np.uint16), 1 / np.linalg.norm(near, axis=1), model, 0.8)
+    made = tracemalloc.get_traced_memory()[1]
+    i, j, _ = held.top(ids[:256], x[:256], 10)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    u = neighbors.unit(x.astype(np.float64))
+    s = np.round(u[:256] @ u.T, 6)
+    s[np.arange(256), np.arange(256)] = -1
+    want = {(a, b) for a in range(256) for b in np.lexsort((np.arange(len(x)), -s[a]))[:10]}
+    assert set(zip(i.tolist(), j.tolist(), strict=True)) == {(a, int(b)) for a, b in want}
+    assert made < 2.5 * x.nbytes and most < 150e6, (made, most)
