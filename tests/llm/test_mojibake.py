@@ -54,3 +54,14 @@ def test_fit_takes_stretches_of_long_texts(spark):
     long = [(7000 + k, (SOUND[k % 3] + " ") * 3000) for k in range(6)]
     a = mojibake.fit_on(docs(spark, long), "doc_id", "text", 400, 500)
     assert set(a) == {"common", "tables", "plain"}
+
+
+def test_fit_counts_every_text_whole(spark):
+    """A sign that stands only at the far end of one long text is known to the model, which equals the one of all texts at once."""
+    bad = mojibake.garble(SOUND[0] + " " + SOUND[2], 0)
+    far = [(8000, "plain ascii " * 9000 + "\nThe knot \u01ff\u01fd holds.\n`caf\u00c3\u00a9`"), (8001, bad), (8002, None), (8003, "\n".join(SOUND) + "\n" + bad)]
+    d = docs(spark, far)
+    got = mojibake.fit_on(d, "doc_id", "text")
+    assert got == mojibake.fit([r.text for r in d.collect() if r.text])
+    assert ("\u01ff", "\u01fd") in got["tables"][mojibake.CLEAN][0]
+    assert ("\u00c3", "\u00a9") not in got["tables"][mojibake.CLEAN][0]
